@@ -58,7 +58,7 @@ def coalesce_sources(
     out = df
     for i, (source, key) in enumerate(sources):
         picked = [F.col(f).alias(f"__{i}_{f}") for f in fields if f in source.columns]
-        out = lookup(out, source, key, picked)
+        out = lookup(out, source, [key], picked)
     filled = {}
     for f in fields:
         parts = [F.col(f"__{i}_{f}") for i, (s, _) in enumerate(sources) if f in s.columns]
