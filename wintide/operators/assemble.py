@@ -78,6 +78,7 @@ def owner_chain(
     user_columns: Sequence[str | Column] = (),
     role_columns: Sequence[str | Column] = (),
     owner: str = "ownerid",
+    slice_months: int | None = None,
 ) -> DataFrame:
     """Account -> owner -> role, current rows by default or the versions valid at ``at``.
 
@@ -95,5 +96,7 @@ def owner_chain(
         if at is None:
             out = lookup(out, current_rows(dim, not_deleted=deleted), [(key, "id")], columns)
         else:
-            out = scd2_as_of(out, dim, [(key, "id")], at, columns=columns)
+            out = scd2_as_of(
+                out, dim, [(key, "id")], at, columns=columns, slice_months=slice_months
+            )
     return out.drop("__owner", "__role")

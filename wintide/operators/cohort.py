@@ -91,6 +91,7 @@ def funnel_rollup(
     lead_sums: Mapping[str, str],
     account_sums: Mapping[str, str],
     accounts_name: str = "accounts",
+    account_identity: Sequence[str] = (),
 ) -> DataFrame:
     """Cohort counts over leads joined to their accounts.
 
@@ -98,14 +99,15 @@ def funnel_rollup(
     measures summed once per lead. ``lead_sums`` / ``account_sums`` map output name -> column.
 
     Leads are reduced to (account, lead dims) with a row count before the join, so an account that
-    owns most leads arrives as a few rows; account measures are then weighted by that count.
+    owns most leads arrives as a few rows; account measures are then weighted by that count. Equal
+    account rows count once; ``account_identity`` adds columns that keep them apart.
     """
     reduced = leads.groupBy(key, *lead_dims).agg(
         F.count(F.lit(1)).alias("__leads"),
         *[F.sum(c).alias(f"__l_{n}") for n, c in lead_sums.items()],
     )
     measures = list(dict.fromkeys(account_sums.values()))
-    wanted = accounts.select(key, *account_dims, *measures).distinct()
+    wanted = accounts.select(key, *account_dims, *measures, *account_identity).distinct()
     joined = lookup(reduced, wanted, key, how="inner")
     return joined.groupBy(*lead_dims, *account_dims).agg(
         F.count_distinct(key).alias(accounts_name),

@@ -20,9 +20,8 @@ def only(item: str, value: str) -> SetRule:
 
 def within(item: str, values: Sequence[str]) -> SetRule:
     """The set is not empty and holds nothing but these values."""
-    allowed = F.array(*[F.lit(v) for v in values])
     return lambda sets: (F.size(sets[item]) > 0) & (
-        F.size(F.array_except(sets[item], allowed)) == 0
+        F.size(F.array_except(sets[item], F.array(*[F.lit(v) for v in values]))) == 0
     )
 
 
