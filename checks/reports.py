@@ -202,3 +202,238 @@ LEFT JOIN histories h ON h.accountid = crm_account_id AND h.first_expansion_date
 )
 def smb_account_expansions(t: Tables) -> DataFrame:
     return plans.account_expansions(smb_domain(t))
+
+
+# ---- mid-market --------------------------------------------------------------------------------
+
+CHURN_CUTOFF = date(2001, 7, 1)
+PAID_LINE = "product_line = 'Support'"
+MM_FEATURES = (
+    """fraud AS (
+  SELECT DISTINCT crm_account_id FROM instances_raw i
+  JOIN customer_dim c ON split_part(c.instance_ref, '.', 1) = CAST(i.account_id AS VARCHAR)
+  JOIN billing_accounts b ON try_cast(b.instance_ref AS DOUBLE) = i.account_id
+  WHERE billing_batch = 'Batch13' OR accounttype__c = 'Fraudulent')""",
+    """usage AS (
+  SELECT crm_account_id, run_at, product_combo,
+    CAST(is_activated_support * is_paying_support + coalesce(is_activated_chat * is_paying_chat, 0)
+      + coalesce(is_activated_talk * is_paying_talk, 0) + is_activated_guide * is_paying_guide AS INTEGER) AS activated,
+    is_engaged_support + is_engaged_chat + is_engaged_talk + is_engaged_guide AS engaged
+  FROM engagement JOIN calendar ON run_at = the_date WHERE product_combo <> 'No Paid Products')""",
+    f"""line_levels AS (
+  SELECT mrr_date, crm_account_id, product_line, bool_or(enterpriselicense_ind = 'Y') AS ela, bool_or(contains(product_offering, 'Premier')) AS premier,
+    coalesce(sum(baseplan_quantity) FILTER (WHERE product_line IN ('Support', 'Chat', 'Talk')), 0) AS seats,
+    coalesce(sum(baseplan_quantity) FILTER (WHERE {PAID_LINE}), 0) AS support_seats,
+    coalesce(max(plan_type) FILTER (WHERE {PAID_LINE}), 0) AS top_level,
+    round(sum(plan_type * baseplan_quantity) FILTER (WHERE {PAID_LINE}) / sum(baseplan_quantity) FILTER (WHERE {PAID_LINE})) AS avg_level
+  FROM revenue_lines JOIN product_dim USING (productrateplancharge_id)
+  LEFT JOIN product_plan_matrix m ON coalesce(base_product_plan, revenue_lines.product_plan) = m.product_plan
+  WHERE dw_curr_ind = 'Y' AND net_arr > 0 AND product_offering <> 'Talk Partner' GROUP BY ALL)""",
+    """levels AS (
+  SELECT mrr_date, crm_account_id, string_agg(product_line, ',' ORDER BY product_line) AS combo,
+    CAST(CASE WHEN bool_or(ela) THEN greatest(max(seats), 1000) ELSE max(seats) END AS BIGINT) AS seats,
+    CAST(CASE WHEN bool_or(ela) THEN greatest(max(support_seats), 1000) ELSE max(support_seats) END AS BIGINT) AS support_seats,
+    CAST(CASE WHEN bool_or(ela OR premier) THEN 5 ELSE max(top_level) END AS INTEGER) AS top_level
+  FROM line_levels GROUP BY ALL)""",
+    f"""states AS (
+  SELECT a.crm_account_id, a.the_date, w.combo AS combo_w, w.seats AS seats_w, w.support_seats AS support_w, w.top_level AS top_w,
+    n.combo, n.seats, n.support_seats, n.top_level
+  FROM customer_age a
+  LEFT JOIN levels w ON w.crm_account_id = a.crm_account_id AND w.mrr_date = greatest(a.win_date, DATE '{HISTORY_FROM}')
+  LEFT JOIN levels n ON n.crm_account_id = a.crm_account_id
+    AND n.mrr_date = CASE WHEN churn_date - 1 < the_date THEN churn_date - 1 ELSE the_date END
+  WHERE a.the_date = DATE '{SNAPSHOT}')""",
+    f"""owners AS (
+  SELECT c.crm_account_id, c.mrr_date, employee_range__c, num_employees__c, vp_team__c, dir_team__c
+  FROM (SELECT DISTINCT crm_account_id, mrr_date, CAST(greatest(mrr_date, DATE '{DIMENSION_FROM}') + 1 AS TIMESTAMP) AS at_ts FROM cohort) c
+  LEFT JOIN crm_accounts a ON a.id = c.crm_account_id AND at_ts BETWEEN a.dw_eff_start AND a.dw_eff_end
+  LEFT JOIN crm_users u ON u.id = a.ownerid LEFT JOIN crm_roles r ON r.id = u.userroleid
+  LEFT JOIN role_attributes ra ON ra.role_label__c = r.name)""",
+)
+
+
+def agents_sql(col: str) -> str:
+    return case_bands(col, rules.AGENT_BANDS, rules.AGENT_TOP, "n/a", rules.AGENT_EXACT)
+
+
+MM_ACCOUNTS = f"""mm_accounts AS (
+  SELECT DISTINCT c.mrr_date, c.crm_account_id, a.win_year_mo, c.age_months, c.industry, c.crm_owner_region_clean, vp_team__c AS region_vp,
+    dir_team__c AS subregion_dir, a.win_year_quarter, a.win_year,
+    CASE WHEN f.crm_account_id IS NULL THEN 'Not Fraudulent' ELSE 'Fraudulent' END AS fraud_flag, seats_w AS paid_agents_at_win,
+    support_w AS paid_support_agents_at_win, {agents_sql("seats_w")} AS agent_band_at_win, top_w AS max_support_plan_at_win,
+    combo_w AS product_combo_at_win, sales_model_at_win, term_at_win, product_mix_at_win,
+    coalesce(market_segment_at_win, 'SMB') AS market_segment_at_win, crm_arr_band_ops_at_win, crm_arr_sub_band_ops_at_win, net_arr_usd_at_win,
+    seats AS paid_agents_today, support_seats AS paid_support_agents_today, {agents_sql("seats")} AS agent_band, top_level AS max_support_plan,
+    combo AS product_combo, sales_model, term, product_mix, coalesce(c.market_segment, 'SMB') AS market_segment,
+    coalesce(employee_range__c, num_employees__c) AS employee_size, coalesce(employee_range_band, '1 - 99') AS employee_range_band,
+    crm_arr_band_ops, crm_arr_sub_band_ops, CASE WHEN engaged >= 1 THEN 'Engaged' WHEN u.run_at IS NOT NULL THEN 'Not Engaged' END AS engaged_flag,
+    CASE WHEN u.run_at IS NOT NULL THEN coalesce(engaged, 0) END AS num_engaged_products, activated AS core_products_activated,
+    u.product_combo AS core_product_combo, max_plan_change_type, agent_change_type, paid_agents_change_from_win, term_change_from_win,
+    product_mix_change_from_win, market_segment_change_from_win, crm_arr_band_ops_change_from_win, crm_arr_sub_band_ops_change_from_win,
+    sales_model_change_from_win, CASE WHEN r.arr > 0 THEN 'Customer' ELSE 'Churned' END AS active_status, r.arr AS net_arr_usd,
+    a.win_date, net_arr_change_from_win
+  FROM cohort c LEFT JOIN fraud f USING (crm_account_id)
+  LEFT JOIN (SELECT crm_account_id, sum(net_arr_usd) AS arr FROM revenue_lines WHERE mrr_date = DATE '{SNAPSHOT}' GROUP BY 1) r USING (crm_account_id)
+  LEFT JOIN customer_age a ON a.crm_account_id = c.crm_account_id AND a.the_date = c.mrr_date
+  LEFT JOIN owners o ON o.crm_account_id = c.crm_account_id AND o.mrr_date = c.mrr_date
+  LEFT JOIN employee_mapping m ON o.employee_range__c = m.employee_range
+  LEFT JOIN usage u ON u.crm_account_id = c.crm_account_id AND u.run_at = c.mrr_date
+  LEFT JOIN states s ON s.crm_account_id = c.crm_account_id AND s.the_date = c.mrr_date
+  WHERE day_type = 'max' AND c.crm_owner_region_clean IS NOT NULL)"""
+MM_EXPANSIONS = f"""mm_expansions AS (
+  SELECT DISTINCT m.crm_account_id, CASE WHEN h.accountid IS NOT NULL THEN m.crm_account_id END AS exp_account,
+    CASE WHEN h.accountid IS NOT NULL THEN m.win_date END AS account_win_date,
+    win_year_quarter, win_year_mo, win_year, active_status, crm_owner_region_clean AS crm_owner_region, agent_band_at_win,
+    max_support_plan_at_win, product_combo_at_win, sales_model_at_win, term_at_win, product_mix_at_win, market_segment_at_win,
+    market_segment, product_mix_change_from_win, market_segment_change_from_win,
+    CAST(first_expansion_date - m.win_date AS INTEGER) AS days_to_first_expansion,
+    CAST(floor((first_expansion_date - m.win_date) / 31) + 1 AS BIGINT) AS months_to_first_expansion,
+    h.* EXCLUDE (accountid, types_of_exp, account_exp_type)
+  FROM mm_accounts m LEFT JOIN histories h ON h.accountid = m.crm_account_id AND first_expansion_date > m.win_date)"""
+MM_CHAIN = (*MM_FEATURES, MM_ACCOUNTS, CLOSED_SQL, HISTORY_SQL, MM_EXPANSIONS)
+
+
+def mm_domain(t: Tables) -> Domain:
+    d = domain(t)
+
+    def granular(with_win: bool) -> DataFrame:
+        return plans.accounts_granular(d, DIMENSION_FROM, HISTORY_FROM, with_win=with_win)
+
+    d.add("mm_accounts", lambda: granular(False))
+    d.add("mm_accounts_at_quarter", lambda: granular(True))
+    d.add("mm_expansions", lambda: plans.expansions_granular(d))
+    d.add("mm_expansions_by_type", lambda: plans.expansions_by_type(d, CHURN_CUTOFF))
+    return d
+
+
+GRANULAR_SQL = (
+    prelude(*MM_FEATURES, MM_ACCOUNTS)
+    + "SELECT * EXCLUDE (win_date, net_arr_change_from_win) REPLACE (mrr_date::VARCHAR AS mrr_date) FROM mm_accounts"
+)
+
+
+@query(GRANULAR_SQL)
+def mm_accounts_granular(t: Tables) -> DataFrame:
+    return plans.accounts_granular(domain(t), DIMENSION_FROM, HISTORY_FROM)
+
+
+@query(GRANULAR_SQL)
+def mm_accounts_granular_sliced(t: Tables) -> DataFrame:
+    """Same report with the dimension look-ups spread over yearly slices."""
+    return plans.accounts_granular(domain(t), DIMENSION_FROM, HISTORY_FROM, slice_months=12)
+
+
+@query(
+    prelude(*MM_CHAIN)
+    + f"SELECT * REPLACE (account_win_date::VARCHAR AS account_win_date, {HISTORY_DATES}) FROM mm_expansions"
+)
+def mm_expansions_granular(t: Tables) -> DataFrame:
+    return plans.expansions_granular(mm_domain(t))
+
+
+BY_TYPE_GROUP = """CASE WHEN type_of_expansion = 'Agent Adds' THEN 'Agent Add' WHEN type_of_expansion IN ('Add Product', 'New Product') THEN 'Add Product'
+    ELSE type_of_expansion END"""
+MM_BY_TYPE = f"""mm_by_type AS (
+  SELECT DISTINCT m.crm_account_id, CASE WHEN e.accountid IS NOT NULL THEN m.crm_account_id END AS exp_account,
+    CASE WHEN churned.crm_account_id IS NOT NULL THEN m.crm_account_id END AS churned_account,
+    CASE WHEN m.win_year_quarter = '2018Q3' THEN 'Post-Suite' ELSE 'Pre-Suite' END AS segment, active_status, m.win_date, m.win_year_quarter,
+    m.win_year_mo, m.win_year, churned.churn_date, year_quarter AS churn_year_quarter, fiscal_year AS churn_year,
+    crm_owner_region_clean AS crm_owner_region, agent_band_at_win, max_support_plan_at_win, product_combo_at_win, sales_model_at_win,
+    term_at_win, product_mix_at_win, product_mix, market_segment_at_win, market_segment, employee_size, crm_arr_band_ops_at_win,
+    crm_arr_sub_band_ops_at_win, product_mix_change_from_win, market_segment_change_from_win, yyyymm_closed AS first_expansion_yyyymm,
+    yyyyqq_closed AS first_expansion_yyyyqq, close_date AS first_expansion_date,
+    CAST(floor((close_date - m.win_date) / 31) + 1 AS BIGINT) AS months_to_first_expansion,
+    CAST(close_date - m.win_date AS INTEGER) AS days_to_first_expansion, e.grp AS first_expansion_type_grouped,
+    e.total_booking_arr_usd AS first_expansion_arr, g.arr AS total_exp_arr_by_type, g.n AS total_exp_by_type,
+    net_arr_change_from_win AS arr_change_from_win,
+    CAST(floor((CASE WHEN active_status = 'Churned' THEN churned.churn_date ELSE m.mrr_date END - m.win_date) / 31) + 1 AS BIGINT) AS age_months
+  FROM mm_accounts m
+  LEFT JOIN (SELECT *, {BY_TYPE_GROUP} AS grp FROM closed WHERE type_of_expansion <> 'Temporary Agents'
+    QUALIFY row_number() OVER (PARTITION BY accountid, type_of_expansion ORDER BY close_date, opportunity_id) = 1) e
+    ON e.accountid = m.crm_account_id AND close_date > m.win_date
+  LEFT JOIN (SELECT accountid, {BY_TYPE_GROUP} AS grp, sum(total_booking_arr_usd) AS arr, count(*) AS n FROM closed GROUP BY 1, 2) g
+    ON g.accountid = e.accountid AND g.grp = e.grp
+  LEFT JOIN (SELECT DISTINCT crm_account_id, churn_date FROM customer_age WHERE churn_date <= DATE '{CHURN_CUTOFF}'
+      AND churn_date IN (SELECT the_date FROM calendar)) churned ON churned.crm_account_id = m.crm_account_id
+  LEFT JOIN calendar ON the_date = churned.churn_date
+  WHERE fraud_flag = 'Not Fraudulent')"""
+
+
+@query(
+    prelude(*MM_CHAIN, MM_BY_TYPE)
+    + """SELECT * REPLACE (win_date::VARCHAR AS win_date, churn_date::VARCHAR AS churn_date,
+  first_expansion_date::VARCHAR AS first_expansion_date) FROM mm_by_type"""
+)
+def mm_expansions_by_type(t: Tables) -> DataFrame:
+    return plans.expansions_by_type(mm_domain(t), CHURN_CUTOFF)
+
+
+def _cohort_window(n: int) -> str:
+    lower = "" if n == 30 else f"AND o.close_date > account_win_date + {n - 30}"
+    test = f"DATE '{AS_OF}' >= account_win_date + {n} AND o.close_date <= account_win_date + {n} {lower}"
+    return (
+        f"sum(total_booking_arr_usd) FILTER (WHERE {test}) AS exp_arr_{n}d, "
+        f"CASE WHEN count(*) FILTER (WHERE {test}) > 0 THEN count(*) FILTER (WHERE {test}) END AS exp_{n}d"
+    )
+
+
+@query(
+    prelude(*MM_CHAIN)
+    + f"""SELECT win_year, active_status, crm_owner_region, max_support_plan_at_win, sales_model_at_win, term_at_win,
+  product_mix_at_win, market_segment_at_win, market_segment, {", ".join(_cohort_window(n) for n in range(30, 361, 30))}
+FROM mm_expansions LEFT JOIN closed o ON o.accountid = crm_account_id WHERE days_to_first_expansion > 0 GROUP BY ALL"""
+)
+def mm_expansion_windows(t: Tables) -> DataFrame:
+    return plans.expansion_windows(mm_domain(t), as_of())
+
+
+@query(
+    prelude(*MM_CHAIN, MM_BY_TYPE)
+    + f"""SELECT DISTINCT q.crm_account_id, q.win_date::VARCHAR AS win_date, account_id, CASE plan_name WHEN 'Support Essential' THEN 'Essential'
+  WHEN 'Team' THEN 'Team' WHEN 'Plus' THEN 'Professional' WHEN 'Enterprise Elite' THEN 'Enterprise' ELSE 'Other' END AS support_plan_grouped,
+  derived_account_type, {", ".join(f"(q.win_date + INTERVAL {n} MONTH)::DATE::VARCHAR AS post_{n}mo" for n in range(1, 13))}
+FROM mm_by_type q JOIN instances i ON i.sfdc_crm_id = q.crm_account_id
+WHERE derived_account_type = 'Customer' AND q.win_date >= DATE '1996-01-01' AND age_months >= 12
+  AND (q.win_date + INTERVAL 12 MONTH)::DATE <= DATE '{AS_OF}' - 1"""
+)
+def mm_instance_months(t: Tables) -> DataFrame:
+    return plans.instance_months(mm_domain(t), as_of(), date(1996, 1, 1))
+
+
+WON_SQL = """won AS (
+  SELECT *, CASE WHEN employee_range_at_signup_rollup = '100+' THEN '100+' ELSE '1 - 99' END AS size FROM leads
+  WHERE type = 'New Business' AND opportunity_stage_name = '07 - Closed' AND yyyyqq_created <> '2019Q3' AND derived_source_granular <> 'Partner')"""
+
+
+@query(
+    prelude(WON_SQL)
+    + """SELECT id AS lead_id, mql, converted_accountid AS crm_account_id, converted_opportunityid AS opp_id,
+  created_date::DATE::VARCHAR AS lead_created_date, yyyymm_created AS lead_created_month, yyyyqq_created AS lead_created_quarter,
+  mql_date::DATE::VARCHAR AS mql_date, opportunity_created_date::DATE::VARCHAR AS opp_created_date,
+  opportunity_close_date::DATE::VARCHAR AS opp_close_date, size AS employee_range_at_signup,
+  CASE WHEN derived_source_granular IN ('Support Trial', 'Suite Trial') THEN 'Support/Suite Trial'
+    WHEN derived_source_granular = 'Contact Us' THEN 'Contact Us/Demo Request' ELSE derived_source_granular END AS derived_source_grouped,
+  derived_source_granular, CASE WHEN mql = 1 THEN 'MQL' END AS mql_flag, lead_region, total_booking_arr_usd AS bookings,
+  CAST(opportunity_close_date::DATE - created_date::DATE AS INTEGER) AS lead_to_win_days,
+  CAST(opportunity_close_date::DATE - mql_date::DATE AS INTEGER) AS mql_to_win_days,
+  CAST(opportunity_close_date::DATE - opportunity_created_date::DATE AS INTEGER) AS opp_to_win_days,
+  CAST(opportunity_created_date::DATE - mql_date::DATE AS INTEGER) AS mql_to_opp_days FROM won"""
+)
+def mm_won_leads(t: Tables) -> DataFrame:
+    return plans.won_leads(domain(t))
+
+
+@query(
+    prelude(*MM_FEATURES, MM_ACCOUNTS, WON_SQL)
+    + """SELECT derived_source_granular, size AS employee_range_at_signup, lead_region, yyyyqq_created AS lead_created_quarter,
+  active_status, crm_owner_region_clean AS crm_owner_region, agent_band_at_win, max_support_plan_at_win, product_combo_at_win,
+  sales_model_at_win, term_at_win, product_mix_at_win, market_segment_at_win, market_segment, crm_arr_band_ops_at_win,
+  product_mix_change_from_win, market_segment_change_from_win, count(DISTINCT m.crm_account_id) AS accounts,
+  CAST(sum(mql) AS BIGINT) AS mqls, sum(total_booking_arr_usd) AS new_biz_bookings, sum(net_arr_usd_at_win) AS arr_at_win, sum(net_arr_usd) AS arr_today
+FROM won JOIN (SELECT DISTINCT crm_account_id, active_status, crm_owner_region_clean, agent_band_at_win, max_support_plan_at_win,
+    product_combo_at_win, sales_model_at_win, term_at_win, product_mix_at_win, market_segment_at_win, market_segment, crm_arr_band_ops_at_win,
+    product_mix_change_from_win, market_segment_change_from_win, net_arr_usd_at_win, net_arr_usd FROM mm_accounts
+  WHERE fraud_flag = 'Not Fraudulent') m ON m.crm_account_id = converted_accountid GROUP BY ALL"""
+)
+def mm_leads_to_accounts(t: Tables) -> DataFrame:
+    return plans.leads_to_accounts(mm_domain(t))
