@@ -43,13 +43,15 @@ def _same(a: object, b: object) -> bool:
     return type(a) is type(b) and a == b
 
 
-def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+def differences(
+    df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str
+) -> tuple[list[str], int]:
     cols = sorted(df.columns)
     got = sorted((tuple(r) for r in df.select(*cols).collect()), key=_key)
     relation = con.sql(sql)
     names = sorted(relation.columns)
     if names != cols:
-        return [f"columns {sorted(set(cols) ^ set(names))}"]
+        return [f"columns {sorted(set(cols) ^ set(names))}"], len(got)
     types = dict(zip(relation.columns, map(str, relation.types), strict=True))
     problems = [
         f"type of {f.name}: {f.dataType.simpleString()} vs {types[f.name]}"
@@ -65,7 +67,7 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list
         if bad:
             problems.append(f"first difference in {bad}: {a} vs {b}")
             break
-    return problems
+    return problems, len(got)
 
 
 def compare(spark: SparkSession, folder: str, names: list[str]) -> int:
@@ -75,11 +77,11 @@ def compare(spark: SparkSession, folder: str, names: list[str]) -> int:
         fn, sql = REGISTRY[name]
         begin = time.perf_counter()
         try:
-            problems = differences(fn(spark, folder), con, sql)
+            problems, rows = differences(fn(spark, folder), con, sql)
         except Exception as error:  # report every query, then fail once
-            problems = [f"{type(error).__name__}: {str(error)[:1500]}"]
+            problems, rows = [f"{type(error).__name__}: {str(error)[:1500]}"], 0
         took = time.perf_counter() - begin
-        print(f"{'ok  ' if not problems else 'FAIL'} {name} {took:.2f}s", flush=True)
+        print(f"{'ok  ' if not problems else 'FAIL'} {name} {rows} rows {took:.2f}s", flush=True)
         for p in problems:
             print(f"     {p}")
         failures += bool(problems)

@@ -437,3 +437,223 @@ FROM won JOIN (SELECT DISTINCT crm_account_id, active_status, crm_owner_region_c
 )
 def mm_leads_to_accounts(t: Tables) -> DataFrame:
     return plans.leads_to_accounts(mm_domain(t))
+
+
+# ---- account 360 -------------------------------------------------------------------------------
+
+ELIGIBLE_SQL = f"""eligible AS (
+  SELECT DISTINCT account_id, sfdc_crm_id, derived_account_type, latest_run_at, cust_owner_email, owner_id AS agent_owner_id, subdomain, region,
+    country, industry_full_name, subdomain AS support_subdomain, region AS support_account_region, country AS support_account_country,
+    industry_full_name AS support_account_industry, is_sandbox AS support_account_sandbox, derived_account_type AS support_derived_account_type,
+    is_active AS support_active_flag, is_trial AS support_active_trial_flag, trial_expired AS support_trial_expired_flag,
+    trial_expires_on AS support_trial_expires_on, created_at AS support_instance_created_date, plan_name AS support_plan_name,
+    max_agents AS support_max_agents, employee_count AS support_account_employee_count, help_desk_size AS support_help_desk_size,
+    churn_dt AS support_churn_date, is_churned AS support_churned_flag, win_dt AS support_win_date, risk_score AS support_risk_score,
+    CASE WHEN is_trial = 1 THEN CAST(trial_expires_on - DATE '{AS_OF}' AS INTEGER) END AS support_days_left_in_trial
+  FROM instances WHERE derived_account_type IN ('Trial', 'Customer')
+    OR (derived_account_type = 'Trial - expired' AND trial_expires_on >= DATE '{TRIAL_FROM}'))"""
+ADMINS_SQL = """admins AS (
+  SELECT a.account_id AS admin_account, run_at, CAST(a.account_id AS VARCHAR) || coalesce(agent_email, '') AS unique_identifier, agent_email, agent_id,
+    agent_name, CASE WHEN agent_email = cust_owner_email THEN 'Owner' ELSE 'Admin' END AS derived_agent_type, locale AS agent_language,
+    a.is_active AS agent_is_active, is_verified AS agent_is_verified, agent_created_at AS agent_created_date
+  FROM agents a JOIN eligible e ON e.account_id = a.account_id AND run_at = latest_run_at LEFT JOIN locales USING (locale_id)
+  WHERE agent_type = 'Admin' AND a.is_active = 1)"""
+FEATURES_SQL = (
+    ELIGIBLE_SQL,
+    ADMINS_SQL,
+    f"staff AS (SELECT * EXCLUDE (run_at) FROM roles WHERE run_at = DATE '{SNAPSHOT}')",
+    """bots AS (SELECT account_id, run_at, created_at AS answer_bot_instance_created_date, trial_expires_at AS answer_bot_trial_expires_date,
+    days_elapsed AS answer_bot_days_elapsed, estimated_resolutions AS answer_bot_estimated_resolutions, max_resolutions AS answer_bot_max_resolutions,
+    product_state AS answer_bot_product_state, resolutions_used AS answer_bot_resolutions_used, boosted_resolutions AS answer_bot_boosted_resolutions,
+    boost_expires_at AS answer_bot_boost_expires_at FROM answer_bot)""",
+    """explored AS (SELECT account_id, run_at, state AS explore_account_type, plan_name AS explore_plan_name,
+    is_initialized AS explore_activation_flag, activated_at AS explore_activation_date FROM explore)""",
+    "combo AS (SELECT CAST(try_cast(instance_ref AS DOUBLE) AS BIGINT) AS account_id, * EXCLUDE (instance_ref) FROM combo_metrics)",
+    f"""shifts AS (SELECT CAST(instance_ref AS BIGINT) AS account_id, model_plan AS plan_shift_model_plan, probability AS plan_shift_probability,
+    1 - probability AS no_plan_shift_probability FROM plan_shift_scores WHERE date_scored = DATE '{SNAPSHOT}')""",
+    "stats AS (SELECT account_id, conversations FROM chat_stats QUALIFY rank() OVER (PARTITION BY account_id ORDER BY timestamp DESC) = 1)",
+    "old_stats AS (SELECT account_id, conversations FROM chat_stats_legacy QUALIFY rank() OVER (PARTITION BY account_id ORDER BY timestamp DESC) = 1)",
+)
+OVERVIEW_FIELDS = """e.*, d.* EXCLUDE (admin_account), num_users, num_admins, num_agents, num_light_agents, b.* EXCLUDE (account_id, run_at),
+  CASE WHEN x.account_id IS NOT NULL THEN '1' ELSE '0' END AS explore_product_flag, x.* EXCLUDE (account_id, run_at)"""
+OVERVIEW_JOINS = """LEFT JOIN staff s ON s.account_id = e.account_id
+LEFT JOIN explored x ON x.account_id = e.account_id AND x.run_at = latest_run_at
+LEFT JOIN combo c ON c.account_id = e.account_id LEFT JOIN shifts f ON f.account_id = e.account_id"""
+ISO_DATES = """support_trial_expires_on::VARCHAR AS support_trial_expires_on, support_churn_date::VARCHAR AS support_churn_date,
+  support_win_date::VARCHAR AS support_win_date, run_at::VARCHAR AS run_at, latest_run_at::VARCHAR AS latest_run_at,
+  chat_enabled_date::VARCHAR AS chat_enabled_date"""
+
+
+def plain_instants(df: DataFrame) -> DataFrame:
+    """Zoned timestamps as plain ones, as DuckDB has them."""
+    zoned = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
+
+
+@query(
+    prelude(
+        *FEATURES_SQL,
+        """talks AS (
+  SELECT instance_id, any_value(coalesce(s.conversations, o.conversations)) AS chat_conversations_in_last_day FROM instance_lifecycle
+  LEFT JOIN stats s ON s.account_id = chat_account_id LEFT JOIN old_stats o ON o.account_id = chat_number
+  WHERE coalesce(chat_account_id, chat_number) IS NOT NULL GROUP BY 1)""",
+    )
+    + f"""SELECT * REPLACE ({ISO_DATES}) FROM (
+SELECT {OVERVIEW_FIELDS}, c.* EXCLUDE (account_id), chat_conversations_in_last_day, f.* EXCLUDE (account_id)
+FROM eligible e LEFT JOIN admins d ON d.admin_account = e.account_id {OVERVIEW_JOINS}
+LEFT JOIN bots b ON b.account_id = e.account_id AND b.run_at = latest_run_at LEFT JOIN talks t ON t.instance_id = e.account_id)"""
+)
+def account_overview(t: Tables) -> DataFrame:
+    return plain_instants(plans.account_overview_report(domain(t), as_of(), TRIAL_FROM))
+
+
+CHAT_SQL = """chats AS (
+  SELECT c.* EXCLUDE (instance_id, chat_account_id, chat_number, phase), c.instance_id, pre, coalesce(n.fb, o.fb) AS fb,
+    coalesce(n.tw, o.tw) AS tw, coalesce(n.req, o.req) AS req, coalesce(n.skill, o.skill) AS skill,
+    coalesce(n.hours, o.hours) AS hours, coalesce(n.hide, o.hide) AS hide
+  FROM (SELECT *, NULL AS phase FROM chat_accounts QUALIFY rank() OVER (PARTITION BY instance_id ORDER BY create_date DESC) = 1) c
+  LEFT JOIN (SELECT id, forms_pre_chat_form_required AS pre, offline_form_facebook AS fb, offline_form_twitter AS tw, chat_request_form AS req,
+      routing_skill AS skill, operating_hours AS hours, chat_button_hide_when_offline AS hide FROM chat_settings
+    WHERE run_at = (SELECT max(run_at) FROM chat_settings)) n ON n.id = c.instance_id
+  LEFT JOIN (SELECT id, offline_form_facebook AS fb, offline_form_twitter AS tw, chat_request_form AS req, routing_skill AS skill,
+      operating_hours AS hours, chat_button_hide_when_offline AS hide FROM chat_settings JOIN old_stats ON account_id = id
+    QUALIFY rank() OVER (PARTITION BY id ORDER BY create_date DESC) = 1) o ON o.id = chat_number
+  WHERE chat_account_id IS NOT NULL AND chat_number IS NOT NULL)"""
+
+
+@query(
+    prelude(*FEATURES_SQL, CHAT_SQL)
+    + f"""SELECT DISTINCT * REPLACE ({ISO_DATES}, chat_instance_created_date::VARCHAR AS chat_instance_created_date,
+  chat_win_date::VARCHAR AS chat_win_date, chat_churn_date::VARCHAR AS chat_churn_date, chat_cancellation_date::VARCHAR AS chat_cancellation_date,
+  guide_trial_start_date::VARCHAR AS guide_trial_start_date, guide_trial_end_date::VARCHAR AS guide_trial_end_date,
+  guide_win_date::VARCHAR AS guide_win_date, guide_churn_date::VARCHAR AS guide_churn_date, talk_trial_start_date::VARCHAR AS talk_trial_start_date,
+  talk_trial_end_date::VARCHAR AS talk_trial_end_date, talk_win_date::VARCHAR AS talk_win_date, talk_churn_date::VARCHAR AS talk_churn_date) FROM (
+SELECT {OVERVIEW_FIELDS}, c.* EXCLUDE (account_id, calls_last_30_days, ivr_enabled), f.* EXCLUDE (account_id), a.name AS company,
+  a.territory_country__c AS sfdc_account_country, a.region__c AS sfdc_account_region, a.employee_range__c AS sfdc_account_employee_range, cd.sales_model,
+  p.score AS support_pql_score, h.instance_id AS chat_id, CASE WHEN h.instance_id = e.account_id THEN '1' ELSE '0' END AS chat_product_flag,
+  h.subdomain AS chat_subdomain, h.create_date AS chat_instance_created_date, derived_chat_account_type AS chat_derived_account_type,
+  chat_win_dt AS chat_win_date, chat_churn_dt AS chat_churn_date, cancellation_date AS chat_cancellation_date, use_case AS chat_use_case,
+  chat_plan_name, chat_status, h.max_agents AS chat_max_agents, enabled_agent_count AS chat_enabled_agent_count,
+  enabled_trigger_count AS chat_enabled_triggers, embedded_timestamp AS chat_web_widget_embedded_date,
+  CASE WHEN h.instance_id IS NULL THEN NULL WHEN embedded_timestamp IS NULL THEN 'not embedded' ELSE 'embedded' END AS chat_web_widget_embedded_flag,
+  pre AS chat_prechat_form_flag, fb AS chat_offline_form_facebook_flag, tw AS chat_offline_form_twitter_flag, req AS chat_request_form_flag,
+  skill AS chat_skill_routing_flag, hours AS chat_operating_hours_flag, hide AS chat_offline_form_flag,
+  g.account_id AS guide_account_id, CASE WHEN g.account_id = e.account_id THEN '1' ELSE '0' END AS guide_product_flag,
+  g.is_trial AS guide_active_trial_flag, g.trial_start_date AS guide_trial_start_date, g.trial_end_date AS guide_trial_end_date,
+  g.win_dt AS guide_win_date, g.churn_dt AS guide_churn_date, derived_guide_account_type AS guide_derived_account_type,
+  g.plan_name AS guide_plan_name, g.max_agents AS guide_max_agents, num_article_edits_28d AS guide_num_article_edits_28d,
+  num_articles AS guide_num_articles, num_articles_added_28d AS guide_num_articles_added_28d, num_hc AS guide_num_hc,
+  num_hc_archived AS guide_num_hc_archived, num_hc_embeddables_automatic_answers AS guide_num_hc_embeddables_automatic_answers,
+  num_hc_embeddables_web_widget AS guide_num_hc_embeddables_web_widget, num_hc_enabled AS guide_num_hc_enabled,
+  num_hc_restricted AS guide_num_hc_restricted, content_cues_activated AS guide_content_cues_activated_flag,
+  CASE WHEN k.captures > 0 THEN 1 ELSE 0 END AS guide_knowledge_capture_flag, v.account_id AS talk_account_id,
+  CASE WHEN v.account_id = e.account_id THEN '1' ELSE '0' END AS talk_product_flag, v.is_trial AS talk_active_trial_flag,
+  derived_trial_start_date AS talk_trial_start_date, v.trial_end_date AS talk_trial_end_date, num_days_in_trial AS talk_num_days_in_trial,
+  v.plan_name AS talk_plan_name, derived_voice_account_type AS talk_derived_account_type, v.win_date AS talk_win_date,
+  has_voice_subscription AS has_talk_subscription, v.is_active AS talk_is_active, v.churn_date AS talk_churn_date,
+  v.is_active AS talk_active_flag, plan_name_at_win AS talk_plan_name_at_win, churn_probability, health_score AS churn_health_score,
+  r.model_plan AS churn_model_plan
+FROM eligible e JOIN admins d ON d.admin_account = e.account_id {OVERVIEW_JOINS} LEFT JOIN bots b ON b.account_id = e.account_id
+LEFT JOIN crm_accounts a ON a.id = sfdc_crm_id AND a.dw_curr_ind = 'Y' LEFT JOIN customer_dim cd ON cd.crm_account_id = a.id
+LEFT JOIN product_scores p ON p.account_id = e.account_id LEFT JOIN chats h ON h.instance_id = e.account_id
+LEFT JOIN guide g ON g.account_id = e.account_id LEFT JOIN voice v ON v.account_id = e.account_id AND v.run_at = latest_run_at
+LEFT JOIN (SELECT account_id, run_at, max(total_events_28) AS captures FROM knowledge_capture GROUP BY ALL) k
+  ON k.account_id = e.account_id AND k.run_at = latest_run_at
+LEFT JOIN churn_scores r ON r.crm_account_id = sfdc_crm_id)"""
+)
+def account_360_full(t: Tables) -> DataFrame:
+    return plain_instants(plans.account_360_report(domain(t), as_of(), TRIAL_FROM))
+
+
+# ---- target lists ------------------------------------------------------------------------------
+
+# Smaller than the published quotas, so that driver regions are really cut; one stays too large.
+REGION_QUOTAS = {"AMER": 40, "EMEA": 25, "APAC": 10, "LATAM": 10_000_000}
+OWNED_SQL = """owned AS (
+  SELECT a.id, a.name AS company, employee_range__c, success_owner__c, u.id AS owner_id, u.name AS owner, u.email AS owner_email, r.name AS owner_role
+  FROM crm_accounts a JOIN crm_users u ON u.id = ownerid JOIN crm_roles r ON r.id = userroleid
+  WHERE a.dw_curr_ind = 'Y' AND isdeleted = 'False')"""
+
+
+@query(
+    prelude(
+        OWNED_SQL,
+        "open_scores AS (SELECT * FROM cross_sell_scores WHERE contains(subregion_dir, 'Velocity') AND product_mix_at_cross_sell <> 'Suite')",
+        "cuts AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{r}' AS region_vp, (SELECT gb_rank FROM open_scores WHERE region_vp = '{r}' ORDER BY gb_rank LIMIT 1 OFFSET {n - 1}) AS cut"
+            for r, n in REGION_QUOTAS.items()
+        )
+        + ")",
+    )
+    + """SELECT DISTINCT s.crm_account_id, region_vp, subregion_dir, owner AS sfdc_account_owner, owner_role AS sfdc_account_owner_role,
+  owner_email AS sfdc_account_owner_email, agent_name, agent_type, agent_email, c.id AS sfdc_contact_id
+FROM open_scores s JOIN cuts USING (region_vp) LEFT JOIN owned o ON o.id = s.crm_account_id
+JOIN crm_contacts c ON c.accountid = s.crm_account_id AND c.isdeleted = 'False'
+JOIN agents a ON a.agent_email = c.email AND a.is_active = 1 AND a.agent_type = 'Admin' WHERE gb_rank <= cut"""
+)
+def cross_sell_target_list(t: Tables) -> DataFrame:
+    return plans.cross_sell_targets(domain(t), REGION_QUOTAS)
+
+
+@query(
+    prelude(
+        OWNED_SQL,
+        f"""plan_lines AS (
+  SELECT crm_account_id, account_id, product_line, string_agg(DISTINCT product_offering, ',' ORDER BY product_offering) AS offerings,
+    sum(baseplan_quantity) AS seats, max(CASE WHEN product_line = 'Suite' THEN plan_type ELSE 0 END) AS suite,
+    max(CASE WHEN product_line = 'Guide' THEN plan_type ELSE 0 END) AS guide
+  FROM revenue_lines l JOIN product_dim USING (productrateplancharge_id)
+  LEFT JOIN product_plan_matrix m ON coalesce(base_product_plan, l.product_plan) = m.product_plan
+  WHERE mrr_date = DATE '{SNAPSHOT}' AND dw_curr_ind = 'Y' AND net_arr_usd > 0 GROUP BY ALL)""",
+        """bought AS (
+  SELECT crm_account_id, string_agg(DISTINCT offerings, ',' ORDER BY offerings) AS product_plan, CAST(max(seats) AS BIGINT) AS paid_agents,
+    max(suite) AS suite, max(guide) AS guide FROM plan_lines GROUP BY 1)""",
+        f"""revenue AS (
+  SELECT crm_account_id, account_id AS billing_id, crm_owner_region_clean, CASE WHEN max(currentterm) > 1 THEN 'Annual+' ELSE 'Monthly' END AS term,
+    CASE WHEN bool_and(product_offering = 'Support Starter') THEN 'Starter-Only' WHEN bool_and(product_line = 'Support') THEN 'Support-Only'
+      WHEN bool_and(product_line = 'Chat') THEN 'Chat-Only' WHEN bool_or(product_line = 'Suite') THEN 'Suite'
+      WHEN min(product_line) <> max(product_line) THEN 'Other Multi-Product' ELSE 'Other' END AS product_mix, sum(net_arr_usd) AS arr
+  FROM revenue_lines WHERE mrr_date = DATE '{SNAPSHOT}' AND net_arr > 0 GROUP BY ALL)""",
+        """social AS (
+  SELECT DISTINCT crm_account_id FROM (SELECT * FROM revenue_lines WHERE contains(product_offering, 'Social')
+    QUALIFY rank() OVER (PARTITION BY crm_account_id ORDER BY mrr_date DESC) = 1) WHERE net_arr_usd > 0)""",
+        f"""channels AS (
+  SELECT account_id, sum(new_channel_facebook_msg) AS fb, sum(new_channel_twitter) AS tw FROM tickets
+  WHERE run_at >= DATE '{AS_OF}' - INTERVAL 12 MONTH GROUP BY 1)""",
+        """pages_used AS (
+  SELECT DISTINCT account_id, num_facebook_pages, num_twitter_handles FROM instance_settings
+  QUALIFY rank() OVER (PARTITION BY account_id ORDER BY run_at DESC) = 1)""",
+    )
+    + f"""SELECT DISTINCT v.crm_account_id, r.billing_id, CAST(i.account_id AS VARCHAR) AS instance_id, i.account_id, i.subdomain, company,
+  v.win_year_mo, v.win_date::VARCHAR AS win_date, suite_date::VARCHAR AS suite_win_date, strftime(suite_date, '%Y-%m') AS suite_win_year_mo,
+  age_months AS account_tenure_months, {case_bands("age_years", rules.AGE_BANDS, rules.AGE_TOP, "Unknown", {})} AS age_range_band,
+  cd.sales_model, r.term, r.product_mix,
+  CASE WHEN owner_role = 'AMERICA' THEN 'Field' WHEN employee_range__c = '100 - 499' THEN 'By size' ELSE 'SMB' END AS market_segment,
+  r.crm_owner_region_clean AS crm_owner_region, cd.billing_country, cd.billing_currency,
+  {case_bands("r.arr", rules.OPS_ARR_BANDS, rules.OPS_ARR_TOP, "n/a", rules.NO_REVENUE)} AS crm_arr_band_ops,
+  {case_bands("r.arr", rules.OPS_PRIMARY_BANDS, rules.OPS_PRIMARY_TOP, "n/a", rules.NO_REVENUE)} AS crm_arr_band_primary,
+  o.owner_id AS sfdc_account_owner_id, owner AS sfdc_account_owner, owner_role AS sfdc_account_owner_role, owner_email AS sfdc_account_owner_email,
+  su.firstname || su.lastname AS success_owner, su.email AS success_owner_email, product_plan,
+  CASE suite WHEN 4 THEN 'Suite Enterprise' WHEN 3 THEN 'Suite Professional' ELSE 'N/A' END AS max_suite_plan,
+  CASE guide WHEN 4 THEN 'Guide Enterprise' WHEN 3 THEN 'Guide Professional' ELSE 'N/A' END AS max_guide_plan, b.paid_agents, derived_account_type,
+  CASE WHEN agent_email = cust_owner_email THEN 'Owner' ELSE 'Admin' END AS agent_type, split_part(agent_name, ' ', 1) AS first_name,
+  CASE WHEN contains(agent_name, ' ') THEN substr(agent_name, position(' ' IN agent_name) + 1) ELSE agent_name END AS last_name,
+  agent_name AS agent_full_name, agent_id, agent_email, lo.name AS language, CASE WHEN fb > 0 THEN 1 ELSE 0 END AS facebook_usage_account_flag,
+  CASE WHEN tw > 0 THEN 1 ELSE 0 END AS twitter_usage_account_flag, num_twitter_handles, num_facebook_pages,
+  bt.billtocontact_id AS rev_ops_billto_contactid, workemail AS revops_bill_to_email, CASE WHEN so.crm_account_id IS NULL THEN 0 ELSE 1 END AS social_sku
+FROM customer_age_view v JOIN revenue r USING (crm_account_id) JOIN customer_dim cd ON cd.billing_account_id = r.billing_id
+LEFT JOIN owned o ON o.id = v.crm_account_id LEFT JOIN crm_users su ON su.id = success_owner__c
+LEFT JOIN bought b ON b.crm_account_id = v.crm_account_id
+JOIN instances i ON i.sfdc_crm_id = v.crm_account_id AND i.billing_id IS NOT NULL AND derived_account_type = 'Customer'
+JOIN agents a ON a.account_id = i.account_id AND a.run_at = latest_run_at AND a.is_active = 1 AND a.agent_type = 'Admin'
+LEFT JOIN locales lo USING (locale_id) LEFT JOIN channels ch ON ch.account_id = i.account_id
+LEFT JOIN pages_used pu ON pu.account_id = i.account_id
+LEFT JOIN billing_accounts bt ON bt.instance_ref = cd.instance_ref LEFT JOIN billing_contacts bc ON bc.id = bt.billtocontact_id
+LEFT JOIN social so ON so.crm_account_id = v.crm_account_id
+WHERE contains(product_plan, 'Suite') OR contains(product_plan, 'Guide Professional') OR contains(product_plan, 'Guide Enterprise')
+  OR (NOT contains(product_plan, 'Suite') AND so.crm_account_id IS NULL AND (fb > 0 OR tw > 0))"""
+)
+def product_target_list(t: Tables) -> DataFrame:
+    """History starts early here, so that the driver dates lie past it."""
+    return plans.product_targets(domain(t), as_of(), DIMENSION_FROM, HISTORY_FROM)

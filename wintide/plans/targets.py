@@ -155,11 +155,11 @@ def billing_profiles(t: Tables, on_day: Column) -> DataFrame:
     )
 
 
-def account_profiles(t: Tables) -> DataFrame:
+def account_profiles(t: Tables, history_start: date = rules.REVENUE_START) -> DataFrame:
     """Tenure, revenue profile, segment and owner of each account on the newest day."""
     newest = t["customer_age_view"].agg(F.max("the_date")).scalar()
     ages = latest_snapshot(t["customer_age_view"], "the_date").filter(
-        F.col("the_date") >= F.lit(rules.REVENUE_START)
+        F.col("the_date") >= F.lit(history_start)
     )
     profiles = billing_profiles(t, newest).withColumnRenamed("account_id", "billing_id")
     out = lookup(ages, profiles, ["crm_account_id", ("the_date", "mrr_date")], how="inner")
@@ -238,10 +238,13 @@ def _plan_label(col: str, product: str) -> Column:
 
 
 def product_targets(
-    t: Tables, as_of: Column, dimension_start: date = rules.DIMENSION_START
+    t: Tables,
+    as_of: Column,
+    dimension_start: date = rules.DIMENSION_START,
+    history_start: date = rules.REVENUE_START,
 ) -> DataFrame:
     """Suite, guide and social-channel customers with every active admin of their instances."""
-    out = account_profiles(t).withColumn("instance_id", normalize_id("instance_ref", "prefix"))
+    out = account_profiles(t, history_start).withColumn("instance_id", normalize_id("instance_ref", "prefix"))
     plans = paid_plans(t, dimension_start).select(
         "crm_account_id",
         "instance_id",
