@@ -206,7 +206,8 @@ INPUTS: dict[str, str] = {
         FROM (SELECT *, DATE '{SNAPSHOT}' AS mrr_date FROM {{customer}}
               UNION ALL SELECT *, DATE '{EARLIER}' AS mrr_date FROM {{customer}}) days""",
     "engagement": f"""
-        SELECT DATE '{SNAPSHOT}' AS run_at, {whole("c_custkey")} AS crm_account_id,
+        SELECT CASE WHEN c_custkey % 37 = 5 THEN DATE '{EARLIER}' ELSE DATE '{SNAPSHOT}' END AS run_at,
+          {whole("c_custkey")} AS crm_account_id,
           CASE WHEN c_custkey % 13 = 0 THEN 'No Paid Products' ELSE 'Support,Chat' END AS product_combo,
           CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS is_paying_support, CASE WHEN c_custkey % 3 = 0 THEN 1 END AS is_paying_chat,
           CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END AS is_paying_talk, CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS is_paying_guide,

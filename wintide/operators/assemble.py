@@ -79,6 +79,7 @@ def owner_chain(
     role_columns: Sequence[str | Column] = (),
     owner: str = "ownerid",
     slice_months: int | None = None,
+    reach_of: DataFrame | None = None,
 ) -> DataFrame:
     """Account -> owner -> role, current rows by default or the versions valid at ``at``.
 
@@ -97,6 +98,12 @@ def owner_chain(
             out = lookup(out, current_rows(dim, not_deleted=deleted), [(key, "id")], columns)
         else:
             out = scd2_as_of(
-                out, dim, [(key, "id")], at, columns=columns, slice_months=slice_months
+                out,
+                dim,
+                [(key, "id")],
+                at,
+                columns=columns,
+                slice_months=slice_months,
+                reach_of=reach_of,
             )
     return out.drop("__owner", "__role")

@@ -43,6 +43,7 @@ def scd2_as_of(
     columns: Sequence[str] | None = None,
     how: str = "left",
     slice_months: int | None = None,
+    reach_of: DataFrame | None = None,
 ) -> DataFrame:
     """Dimension version valid at ``at``; both interval ends count, so touching versions both match.
 
@@ -50,7 +51,9 @@ def scd2_as_of(
     has few versions. For keys with very long histories set ``slice_months``: versions are unrolled
     over calendar slices clipped to the facts' own time range and the slice joins the hash key, so
     a hot key spreads over tasks and a fact meets only the versions of its slice. A version meets
-    an instant in exactly one slice, so both forms give the same rows.
+    an instant in exactly one slice, so both forms give the same rows. The time range is a scalar
+    sub-query over ``reach_of``, a frame that covers all instants (default: the facts; pass the
+    narrow base table when the facts are already a long plan).
     """
     pairs = key_pairs(on)
     right_keys = [r for _, r in pairs]
@@ -68,7 +71,10 @@ def scd2_as_of(
         condition = (F.col(left) == F.col(f"__k{i}")) & condition
     if slice_months is not None:
         probe = probe.withColumn("__slice", _slice_of(F.col("__at"), slice_months))
-        reach = probe.agg(F.struct(F.min("__slice").alias("lo"), F.max("__slice").alias("hi")))
+        slices = _slice_of(at, slice_months)
+        reach = (facts if reach_of is None else reach_of).agg(
+            F.struct(F.min(slices).alias("lo"), F.max(slices).alias("hi"))
+        )
         right = (
             right.withColumn("__reach", reach.scalar())
             .withColumn(

@@ -68,7 +68,8 @@ def fraud_accounts(t: Tables) -> DataFrame:
 def product_usage(t: Tables) -> DataFrame:
     """Engagement metrics of paying accounts on calendar days."""
     paying = t["engagement"].filter(~F.col("product_combo").isin("No Paid Products"))
-    scored = engagement_score(with_calendar(paying, t["calendar"], "run_at", []), rules.ENGAGED_PRODUCTS)
+    dated = semi_filter(paying, t["calendar"], [("run_at", "the_date")])
+    scored = engagement_score(dated, rules.ENGAGED_PRODUCTS)
     return scored.select(
         "run_at",
         "crm_account_id",
@@ -79,10 +80,28 @@ def product_usage(t: Tables) -> DataFrame:
     ).distinct()
 
 
+def charge_totals(lines: DataFrame) -> DataFrame:
+    """Paid lines summed per account, day and charge: all the roll-up needs of them."""
+    charge = [
+        "mrr_date",
+        "crm_account_id",
+        "product_line",
+        "product_offering",
+        "product_plan",
+        "base_product_plan",
+        "productrateplancharge_id",
+    ]
+    return lines.filter(F.col("net_arr") > 0).groupBy(*charge).agg(
+        F.sum("baseplan_quantity").alias("baseplan_quantity"), F.sum("net_arr").alias("net_arr")
+    )
+
+
 def product_states(t: Tables, history_start: date = rules.REVENUE_START) -> DataFrame:
     """Products, seats and plan level of every account at win and when last active.
 
-    Only the revenue lines of those two days per account are rolled up.
+    Only the revenue lines of those two days per account are rolled up. Lines are summed per charge
+    before they are cut down to those days, so a day that holds most lines of the table reaches the
+    join as one row per charge.
     """
     ages = latest_snapshot(t["customer_age"], "the_date").select(
         "crm_account_id", "the_date", "win_date", "churn_date"
@@ -91,7 +110,8 @@ def product_states(t: Tables, history_start: date = rules.REVENUE_START) -> Data
     last_day = F.coalesce(F.date_sub("churn_date", 1), F.lit(rules.OPEN_END))
     last_active = strict_least("the_date", last_day)
     days = ages.select("crm_account_id", F.explode(F.array(at_win, last_active)).alias("mrr_date"))
-    lines = semi_filter(t["revenue_lines"], days, ["crm_account_id", "mrr_date"])
+    charges = charge_totals(t["revenue_lines"])
+    lines = semi_filter(charges, days, ["crm_account_id", "mrr_date"])
     products = product_rollup(lines, current_rows(t["product_dim"]), t["product_plan_matrix"])
     fields = [
         "avg_support_plan",
@@ -149,6 +169,7 @@ def accounts_granular(
         account_columns=["employee_range__c", "num_employees__c"],
         role_columns=[F.col("name").alias("__role_name")],
         slice_months=slice_months,
+        reach_of=cohort,
     )
     teams = [F.col("vp_team__c").alias("region_vp"), F.col("dir_team__c").alias("subregion_dir")]
     out = scd2_as_of(
@@ -158,6 +179,7 @@ def accounts_granular(
         at,
         columns=teams,
         slice_months=slice_months,
+        reach_of=cohort,
     )
     out = lookup(
         out,

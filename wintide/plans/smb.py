@@ -53,13 +53,41 @@ def newest_customer(t: Tables) -> DataFrame:
     ).select("crm_account_id", "crm_business_unit", "sales_model")
 
 
-def paying(lines: DataFrame) -> DataFrame:
-    return lines.filter(F.col("crm_account_id").isNotNull() & (F.col("net_arr_usd") > 0))
+# The three feature families below read different columns of the revenue lines. Each first reduces
+# the lines to what it needs per account and day (map-side), and only then is joined to days or
+# labelled: a day that holds most of the table arrives as one row per product or charge.
 
 
-def customer_types(lines: DataFrame) -> DataFrame:
+def paid_products(lines: DataFrame) -> DataFrame:
+    """Distinct paid products per account and day."""
+    paid = lines.filter(F.col("crm_account_id").isNotNull() & (F.col("net_arr_usd") > 0))
+    return paid.select(*ACCOUNT_DAY, "product_line", "product_offering", "product_plan").distinct()
+
+
+def seat_charges(lines: DataFrame) -> DataFrame:
+    """Paid seats per account, day, product line and charge."""
+    offering = F.col("product_offering")
+    kept = lines.filter(
+        F.col("crm_account_id").isNotNull()
+        & ~offering.like("%Talk Partner%")
+        & ~offering.like("%Starter%")
+        & (F.col("net_arr") > 0)
+    )
+    return kept.groupBy(*ACCOUNT_DAY, "product_line", "productrateplancharge_id").agg(
+        F.sum("baseplan_quantity").alias("seats")
+    )
+
+
+def term_revenue(lines: DataFrame) -> DataFrame:
+    """Revenue per account, day and contract term."""
+    term = F.coalesce("currentterm", "currentterm_prior_qtr_end").alias("term_months")
+    known = lines.filter(F.col("crm_account_id").isNotNull())
+    return known.groupBy(*ACCOUNT_DAY, term).agg(F.sum("net_mrr_usd").alias("net_mrr_usd"))
+
+
+def customer_types(products: DataFrame) -> DataFrame:
     return classify_set(
-        paying(lines),
+        products,
         ACCOUNT_DAY,
         ["product_offering", "product_line"],
         rules.CUSTOMER_TYPE_RULES,
@@ -68,32 +96,25 @@ def customer_types(lines: DataFrame) -> DataFrame:
     )
 
 
-def support_plans(lines: DataFrame) -> DataFrame:
+def support_plans(products: DataFrame) -> DataFrame:
     """Plan groups per account, day and support line (an account with two lines has two rows)."""
-    support = paying(lines).filter(F.col("product_line").like("%Support%"))
+    support = products.filter(F.col("product_line").like("%Support%"))
     plan = group_values("product_plan", rules.SUPPORT_PLAN_GROUPS, "Other")
     return support.groupBy(*ACCOUNT_DAY, "product_line").agg(
         distinct_list(plan).alias("support_plan")
     )
 
 
-def paid_seats(lines: DataFrame, products: DataFrame) -> DataFrame:
+def paid_seats(charges: DataFrame, products: DataFrame) -> DataFrame:
     """Seats per account and day: summed per product line, largest line, licence floor."""
-    offering = F.col("product_offering")
-    kept = lines.filter(
-        F.col("crm_account_id").isNotNull()
-        & ~offering.like("%Talk Partner%")
-        & ~offering.like("%Starter%")
-        & (F.col("net_arr") > 0)
-    )
     known = lookup(
-        kept,
+        charges,
         current_rows(products),
         "productrateplancharge_id",
         ["enterpriselicense_ind"],
         how="inner",
     )
-    seats = F.when(F.col("product_line").isin(*rules.SEAT_LINES), F.col("baseplan_quantity"))
+    seats = F.when(F.col("product_line").isin(*rules.SEAT_LINES), F.col("seats"))
     per_line = known.groupBy(*ACCOUNT_DAY, "product_line").agg(
         F.max("enterpriselicense_ind").alias("ela"), F.sum(seats.otherwise(0)).alias("seats")
     )
@@ -102,18 +123,11 @@ def paid_seats(lines: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def contract_terms(
-    lines: DataFrame, calendar: DataFrame, yesterday: Column, min_fiscal_year: int
+    revenue: DataFrame, calendar: DataFrame, yesterday: Column, min_fiscal_year: int
 ) -> DataFrame:
     """Contract term that carries the most revenue, on reporting days."""
-    reported = reporting_dates(
-        lines.filter(F.col("crm_account_id").isNotNull()),
-        calendar,
-        "mrr_date",
-        yesterday,
-        min_fiscal_year,
-    )
-    term = F.coalesce("currentterm", "currentterm_prior_qtr_end")
-    return dominant_value(reported, ACCOUNT_DAY, term, "net_mrr_usd", "term_months")
+    reported = reporting_dates(revenue, calendar, "mrr_date", yesterday, min_fiscal_year)
+    return dominant_value(reported, ACCOUNT_DAY, "term_months", "net_mrr_usd", "term_months")
 
 
 def market_segments(t: Tables) -> DataFrame:
@@ -164,8 +178,8 @@ def accounts_today(
 ) -> DataFrame:
     """Account table of one snapshot day, compared with each account's state at win.
 
-    Today's features read one day of revenue lines; at-win features read only the lines at the
-    accounts' own win days, cut down by a semi join before they are aggregated.
+    Today's features read one day of revenue lines; at-win features keep only the accounts' own win
+    days.
     """
     base = t["revenue_by_account"].filter(
         (F.col("mrr_date") == F.lit(snapshot))
@@ -173,18 +187,19 @@ def accounts_today(
         & F.col("crm_account_id").isNotNull()
         & (F.col("net_arr_usd") > 0)
     )
-    base = with_calendar(base, t["calendar"], "mrr_date", [])
+    base = semi_filter(base, t["calendar"], [("mrr_date", "the_date")])
     base = lookup(
         base, t["win_dates"], "crm_account_id", [F.col("win_date").alias("account_win_date")], "inner"
     )
     today = t["revenue_lines"].filter(F.col("mrr_date") == F.lit(snapshot))
     seats_today = t["revenue_lines_snapshot"].filter(F.col("mrr_date") == F.lit(snapshot))
+    products = paid_products(today)
 
     out = _described(base, t)
-    out = lookup(out, customer_types(today), ACCOUNT_DAY)
-    seats = paid_seats(seats_today, t["product_dim"])
+    out = lookup(out, customer_types(products), ACCOUNT_DAY)
+    seats = paid_seats(seat_charges(seats_today), t["product_dim"])
     out = lookup(out, seats, ACCOUNT_DAY, [F.col("paid_core_agents").alias("paid_agents_today")])
-    terms = contract_terms(today, t["calendar"], yesterday, min_fiscal_year)
+    terms = contract_terms(term_revenue(today), t["calendar"], yesterday, min_fiscal_year)
     out = lookup(out, terms, ACCOUNT_DAY)
     out = membership_flag(out, t["startups"], "crm_account_id", "startup_account", F.col("crm_account_id"))
     current = out.select(
@@ -212,15 +227,15 @@ def accounts_today(
 
     at_win = strict_greatest("account_win_date", F.lit(history_start))
     win_days = base.select("crm_account_id", at_win.alias("mrr_date"))
-    won_lines = semi_filter(t["revenue_lines"], win_days, ACCOUNT_DAY)
-    won_seats = semi_filter(t["revenue_lines_snapshot"], win_days, ACCOUNT_DAY)
+    won_products = semi_filter(paid_products(t["revenue_lines"]), win_days, ACCOUNT_DAY)
+    won_seats = semi_filter(seat_charges(t["revenue_lines_snapshot"]), win_days, ACCOUNT_DAY)
 
     def then(df: DataFrame, facts: DataFrame, col: str, name: str) -> DataFrame:
         return state_at(df, facts, "crm_account_id", at_win, "mrr_date", [F.col(col).alias(name)])
 
-    out = then(current, customer_types(won_lines), "customer_type", "customer_type_at_win")
-    out = lookup(out, support_plans(today), ACCOUNT_DAY, [F.col("support_plan").alias("__plan_now")])
-    out = then(out, support_plans(won_lines), "support_plan", "__plan_at_win")
+    out = then(current, customer_types(won_products), "customer_type", "customer_type_at_win")
+    out = lookup(out, support_plans(products), ACCOUNT_DAY, [F.col("support_plan").alias("__plan_now")])
+    out = then(out, support_plans(won_products), "support_plan", "__plan_at_win")
     seats_at_win = paid_seats(won_seats, t["product_dim"])
     out = then(out, seats_at_win, "paid_core_agents", "paid_core_agents_at_win")
     return out.select(
@@ -249,15 +264,16 @@ def accounts_at_win(
     at_win = strict_greatest("account_win_date", F.lit(history_start))
     winners = t["win_dates"].select("crm_account_id", F.col("win_date").alias("account_win_date"))
     won = winners.withColumn("mrr_date", at_win)
-    revenue = t["revenue_by_account"].select(*ACCOUNT_DAY, "crm_owner_region_clean", "net_arr_usd")
-    out = lookup(won, revenue, ACCOUNT_DAY, how="inner")
+    accounts = t["revenue_by_account"].select(*ACCOUNT_DAY, "crm_owner_region_clean", "net_arr_usd")
+    out = lookup(won, accounts, ACCOUNT_DAY, how="inner")
     calendar = [
         F.col("fiscal_year").alias("win_year"),
         F.col("month_year").alias("win_yyyymm"),
         F.col("year_quarter").alias("win_yyyyqq"),
     ]
     out = with_calendar(out, t["calendar"], "mrr_date", calendar)
-    lines = semi_filter(t["revenue_lines"], won, ACCOUNT_DAY)
+    products = semi_filter(paid_products(t["revenue_lines"]), won, ACCOUNT_DAY)
+    revenue = semi_filter(term_revenue(t["revenue_lines"]), won, ACCOUNT_DAY)
     today = t["smb_accounts"].select(
         "crm_account_id",
         F.col("customer_type").alias("__type_now"),
@@ -267,9 +283,9 @@ def accounts_at_win(
     )
     out = lookup(out, today, "crm_account_id")
     out = _described(out, t)
-    out = lookup(out, customer_types(lines), ACCOUNT_DAY)
-    out = lookup(out, support_plans(lines), ACCOUNT_DAY, ["support_plan"])
-    out = lookup(out, contract_terms(lines, t["calendar"], yesterday, min_fiscal_year), ACCOUNT_DAY)
+    out = lookup(out, customer_types(products), ACCOUNT_DAY)
+    out = lookup(out, support_plans(products), ACCOUNT_DAY, ["support_plan"])
+    out = lookup(out, contract_terms(revenue, t["calendar"], yesterday, min_fiscal_year), ACCOUNT_DAY)
     key = F.col("crm_account_id")
     out = membership_flag(out, t["smb_startups"], "crm_account_id", "startup_account", key)
     plan_at_win = F.coalesce("__stored_plan", "support_plan", F.lit(""))
