@@ -1,4 +1,4 @@
-from wintide.operators._join import lookup
+from wintide.operators._join import lookup, lookup_many
 from wintide.operators.assemble import (
     Feature,
     account_360,
@@ -67,6 +67,7 @@ __all__ = [
     "latest_per_key",
     "latest_snapshot",
     "lookup",
+    "lookup_many",
     "membership_flag",
     "milestones",
     "month_offsets",

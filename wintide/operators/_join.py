@@ -46,3 +46,18 @@ def lookup(
     if how in ("left_semi", "left_anti"):
         return joined
     return joined.drop(*[f"__k{i}" for i in range(len(pairs))])
+
+
+def lookup_many(
+    df: DataFrame, dim: DataFrame, on: Keys, columns: Sequence[str | Column] | None = None
+) -> DataFrame:
+    """Left join for a right side that may repeat one key very often.
+
+    A left join can only split its left side, so a hot right key would stay in one task. Here the
+    matches come from an inner join, where either side can be split, and the rows without a match
+    from an anti join against distinct keys. ``df`` is read twice; stage it when it is expensive.
+    """
+    right_keys = [r for _, r in key_pairs(on)]
+    matched = lookup(df, dim, on, columns, "inner")
+    missed = lookup(df, dim.select(*right_keys).distinct(), on, how="left_anti")
+    return matched.unionByName(missed, allowMissingColumns=True)

@@ -24,9 +24,9 @@ from wintide.operators import (
     latest_per_key,
     latest_snapshot,
     lookup,
+    lookup_many,
     preaggregate_join,
     semi_filter,
-    snapshot_join,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -108,13 +108,15 @@ AGENT_COLUMNS = [
 ]
 
 
-def with_admins(instances: DataFrame, t: Tables, how: str) -> DataFrame:
-    """Active admin agents of each instance at the instance's own latest run."""
-    admins = t["agents"].filter((F.col("agent_type") == "Admin") & (F.col("is_active") == 1))
-    admins = lookup(admins, t["locales"], "locale_id", [F.col("locale").alias("agent_language")])
-    wanted = admins.select(
-        F.col("account_id").alias("__agent_account"),
+def admins(t: Tables) -> DataFrame:
+    """Active admin agents per instance and run, with their language."""
+    kept = t["agents"].filter((F.col("agent_type") == "Admin") & (F.col("is_active") == 1))
+    named = lookup(kept, t["locales"], "locale_id", [F.col("locale").alias("agent_language")])
+    return named.select(
+        "account_id",
+        F.col("run_at").alias("__run"),
         "run_at",
+        composite_key("account_id", "agent_email").alias("unique_identifier"),
         "agent_email",
         "agent_id",
         "agent_name",
@@ -123,21 +125,17 @@ def with_admins(instances: DataFrame, t: Tables, how: str) -> DataFrame:
         F.col("is_verified").alias("agent_is_verified"),
         F.col("agent_created_at").alias("agent_created_date"),
     ).distinct()
-    wanted = wanted.select(
-        "*", F.col("__agent_account").alias("__account"), F.col("run_at").alias("__run")
-    )
-    out = snapshot_join(
-        instances, wanted, ("account_id", "__account"), "latest_run_at", "__run", how=how
-    )
-    known = F.col("__agent_account").isNotNull()
-    key = composite_key("__agent_account", "agent_email")
-    role = role_label("agent_email", "cust_owner_email")
-    return out.select(
-        *instances.columns,
-        *[c for c in AGENT_COLUMNS if c not in ("unique_identifier", "derived_agent_type")],
-        F.when(known, key).alias("unique_identifier"),
-        F.when(known, role).alias("derived_agent_type"),
-    ).select(*instances.columns, *AGENT_COLUMNS)
+
+
+def per_admin(df: DataFrame) -> DataFrame:
+    """Order the agent columns after the instance columns and label the owner."""
+    found = F.col("unique_identifier").isNotNull()
+    role = F.when(found, role_label("agent_email", "cust_owner_email"))
+    first = [c for c in df.columns if c not in AGENT_COLUMNS]
+    return df.withColumn("derived_agent_type", role).select(*first, *AGENT_COLUMNS)
+
+
+AT_LATEST_RUN = ["account_id", ("latest_run_at", "__run")]
 
 
 def staff_counts(t: Tables) -> DataFrame:
@@ -244,7 +242,7 @@ def newest_stats(stats: DataFrame) -> DataFrame:
     )
 
 
-def chat_features(t: Tables) -> DataFrame:
+def chat_features(t: Tables, conversations: bool = True) -> DataFrame:
     """Newest chat account per instance with settings from the current or the legacy feed.
 
     Settings come under the instance id (latest run only) and, as a fallback, under the legacy
@@ -257,31 +255,24 @@ def chat_features(t: Tables) -> DataFrame:
         F.col("chat_account_id").isNotNull() & F.col("chat_number").isNotNull()
     )
     current = latest_per_key(latest_snapshot(settings, "run_at"), ["id"], "create_date", ties="all")
-    current = current.select(F.col("id").alias("instance_id"), "forms_pre_chat_form_required", *flags)
+    current = current.select("id", "forms_pre_chat_form_required", *flags)
     any_run = latest_per_key(settings, ["id"], "create_date", ties="all").select("id", *flags)
     legacy = lookup(newest_stats(t["chat_stats_legacy"]), any_run, [("account_id", "id")])
-    legacy = legacy.select(F.col("account_id").alias("chat_number"), "conversations", *flags)
-    stats = newest_stats(t["chat_stats"]).withColumnRenamed("account_id", "chat_account_id")
-
-    out = lookup(newest, current.select("instance_id", "forms_pre_chat_form_required").distinct(), "instance_id")
-    out = coalesce_sources(
-        out,
-        [(current.select("instance_id", *flags), "instance_id"), (legacy.select("chat_number", *flags), "chat_number")],
-        flags,
-    )
-    out = coalesce_sources(
-        out,
-        [(stats, "chat_account_id"), (legacy.select("chat_number", "conversations"), "chat_number")],
-        ["conversations"],
-    )
+    sources = [(current, ("instance_id", "id")), (legacy, ("chat_number", "account_id"))]
+    fields = ["forms_pre_chat_form_required", *flags]
+    if conversations:
+        sources.insert(1, (newest_stats(t["chat_stats"]), ("chat_account_id", "account_id")))
+        fields.append("conversations")
+    out = coalesce_sources(newest, sources, fields)
     embedded = F.when(F.col("embedded_timestamp").isNull(), "not embedded").otherwise("embedded")
+    talk = [F.col("conversations").alias("chat_conversations_in_last_day")] if conversations else []
     return out.select(
         "instance_id",
         *[F.col(c).alias(n) for c, n in CHAT.items()],
         embedded.alias("chat_web_widget_embedded_flag"),
         F.col("forms_pre_chat_form_required").alias("chat_prechat_form_flag"),
         *[F.col(c).alias(n) for c, n in CHAT_FLAGS.items()],
-        F.col("conversations").alias("chat_conversations_in_last_day"),
+        *talk,
     ).distinct()
 
 
@@ -318,19 +309,15 @@ def crm_profiles(t: Tables) -> DataFrame:
     return preaggregate_join(profiles, models, [("id", "crm_account_id")], [lowest])
 
 
-def account_360_report(
-    t: Tables, as_of: Column, trial_from: date, stage: Stage | None = None
-) -> DataFrame:
+def account_360_report(t: Tables, as_of: Column, trial_from: date) -> DataFrame:
     """All product, usage, score and CRM features per instance and active admin.
 
-    ``stage`` may write the driver set to the shared checkpoint folder before it is widened.
+    Features meet the instances first, one row per instance; the admins, of which one instance may
+    have very many, come last in an inner join whose sides can both be split.
     """
-    driver = with_admins(eligible_instances(t, as_of, trial_from), t, "inner")
-    if stage is not None:
-        driver = stage(driver, "account_360_driver")
     key = "account_id"
     at_run = [key, ("latest_run_at", "run_at")]
-    chat = chat_features(t).drop("chat_conversations_in_last_day")
+    chat = chat_features(t, conversations=False).withColumn("chat_id", F.col("instance_id"))
     guide = _renamed(t["guide"].filter("account_id IS NOT NULL"), GUIDE, key).withColumn(
         "guide_account_id", F.col(key)
     )
@@ -340,7 +327,6 @@ def account_360_report(
     captured = t["knowledge_capture"].groupBy(key, "run_at").agg(
         F.max("total_events_28").alias("__captures")
     )
-
     features = [
         Feature(crm_profiles(t), [("sfdc_crm_id", "id")]),
         Feature(t["product_scores"].select(key, F.col("score").alias("support_pql_score")), key),
@@ -348,21 +334,17 @@ def account_360_report(
         Feature(_renamed(t["answer_bot"], ANSWER_BOT, key), key),
         Feature(_renamed(t["explore"], EXPLORE, key, "run_at"), at_run, flag="explore_product_flag"),
         Feature(usage_metrics(t), key, USAGE),
-        Feature(
-            chat.withColumn("chat_id", F.col("instance_id")),
-            [(key, "instance_id")],
-            flag="chat_product_flag",
-        ),
+        Feature(chat, [(key, "instance_id")], flag="chat_product_flag"),
         Feature(guide, key, flag="guide_product_flag"),
         Feature(voice, at_run, flag="talk_product_flag"),
         Feature(captured, at_run),
         Feature(plan_shift(t), key),
         Feature(churn_risk(t), [("sfdc_crm_id", "crm_account_id")]),
     ]
-    wide = account_360(driver, features)
+    wide = account_360(eligible_instances(t, as_of, trial_from), features)
     capture_flag = F.when(F.col("__captures") > 0, 1).otherwise(0)
-    wide = wide.withColumn("guide_knowledge_capture_flag", capture_flag).drop("__captures")
-    return wide.distinct().orderBy(key)
+    wide = wide.withColumn("guide_knowledge_capture_flag", capture_flag).drop("__captures").distinct()
+    return per_admin(lookup(wide, admins(t), AT_LATEST_RUN, how="inner")).orderBy(key)
 
 
 def chat_conversations(t: Tables, instances: DataFrame) -> DataFrame:
@@ -382,10 +364,11 @@ def chat_conversations(t: Tables, instances: DataFrame) -> DataFrame:
 def account_overview_report(
     t: Tables, as_of: Column, trial_from: date, stage: Stage | None = None
 ) -> DataFrame:
-    """Narrower view that keeps instances without an active admin."""
+    """Narrower view that keeps instances without an active admin.
+
+    ``stage`` may write the per-instance table to the shared checkpoint folder; it is read twice.
+    """
     instances = eligible_instances(t, as_of, trial_from)
-    if stage is not None:
-        instances = stage(instances, "account_overview_driver")
     key = "account_id"
     at_run = [key, ("latest_run_at", "run_at")]
     features = [
@@ -400,4 +383,7 @@ def account_overview_report(
         ),
         Feature(plan_shift(t), key),
     ]
-    return account_360(with_admins(instances, t, "left"), features).orderBy(key)
+    wide = account_360(instances, features)
+    if stage is not None:
+        wide = stage(wide, "account_overview")
+    return per_admin(lookup_many(wide, admins(t), AT_LATEST_RUN)).orderBy(key)

@@ -243,7 +243,11 @@ def product_targets(
     dimension_start: date = rules.DIMENSION_START,
     history_start: date = rules.REVENUE_START,
 ) -> DataFrame:
-    """Suite, guide and social-channel customers with every active admin of their instances."""
+    """Suite, guide and social-channel customers with every active admin of their instances.
+
+    All account features are joined and the product filter applied per account before the admins
+    are attached.
+    """
     out = account_profiles(t, history_start).withColumn("instance_id", normalize_id("instance_ref", "prefix"))
     plans = paid_plans(t, dimension_start).select(
         "crm_account_id",
@@ -268,10 +272,6 @@ def product_targets(
     out = lookup(
         out, instances, [("crm_account_id", "sfdc_crm_id"), ("instance_id", "__instance")], how="inner"
     )
-    admins = t["agents"].filter((F.col("is_active") == 1) & (F.col("agent_type") == "Admin"))
-    admins = admins.select("account_id", "run_at", "agent_id", "agent_name", "agent_email", "locale_id")
-    out = snapshot_join(out, admins, "account_id", "latest_run_at", "run_at", how="inner")
-    out = lookup(out, t["locales"], "locale_id", [F.col("name").alias("language")])
     billing = current_rows(t["customer_dim"]).select(
         "instance_ref", "billing_country", "billing_currency"
     )
@@ -293,6 +293,12 @@ def product_targets(
     suite = plan.like("%Suite%")
     guide = plan.like("%Guide Professional%") | plan.like("%Guide Enterprise%")
     wanted = out.filter(suite | guide | (~suite & ~F.col("__social") & uses))
+    admins = t["agents"].filter((F.col("is_active") == 1) & (F.col("agent_type") == "Admin"))
+    admins = lookup(admins, t["locales"], "locale_id", [F.col("name").alias("language")])
+    admins = admins.select("account_id", "run_at", "agent_id", "agent_name", "agent_email", "language")
+    wanted = snapshot_join(
+        wanted, admins.distinct(), "account_id", "latest_run_at", "run_at", how="inner"
+    )
     first, last = split_name("agent_name")
     years = band("age_years", rules.AGE_BANDS, rules.AGE_TOP, "Unknown")
     segment = F.coalesce("__role_segment", "__range_segment", F.lit("SMB"))
