@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wintide.functions import elapsed_days
+from wintide.functions import elapsed_days, strict_greatest
 from wintide.operators._join import lookup
 
 
@@ -50,7 +50,7 @@ def tenure_windows(
     )
     joined = lookup(accounts, daily, key)
     since = F.datediff("__day", start)
-    window = F.greatest(F.lit(1), F.ceil(since / F.lit(step)).cast("int"))
+    window = strict_greatest(F.lit(1), F.ceil(since / F.lit(step)).cast("int"))
     open_window = F.when(as_of >= F.date_add(F.col(start), window * step), window)
     placed = joined.withColumn("__window", open_window)
     sums, counts = [], []

@@ -128,10 +128,12 @@ def quota_cut(
     reached = lowest.withColumn("__upto", F.sum("__n").over(running)).filter(
         F.col("__upto") >= quota
     )
-    cuts = reached.groupBy(region).agg(F.min_by(rank, "__upto").alias("__cut"))
+    cuts = reached.groupBy(region).agg(
+        F.min_by(rank, "__upto").alias("__cut"), F.count(F.lit(1)).alias("__reached")
+    )
     how = "left" if short == "all" else "inner"
     passed = lookup(in_scope, cuts, region, how=how)
     keep = F.col(rank) <= F.col("__cut")
     if short == "all":
-        keep = keep | F.col("__cut").isNull()
-    return passed.filter(keep).drop("__cut")
+        keep = keep | F.col("__reached").isNull()
+    return passed.filter(keep).drop("__cut", "__reached")
