@@ -479,8 +479,8 @@ SELECT l_suppkey, CASE WHEN licence = 'Y' THEN greatest(seats, 38) ELSE seats EN
 def licence_seat_floor(t: Tables) -> DataFrame:
     lines = t.lineitem.filter("l_quantity < 40").select("l_suppkey", "l_partkey", "l_quantity")
     sized = lookup(lines, t.part, [("l_partkey", "p_partkey")], ["p_size"], "inner")
-    flag = F.max(F.when(F.col("p_size") == 50, "Y").otherwise("N"))
-    seats = license_floor(F.max(F.col("l_quantity").cast("bigint")), flag, 38)
+    licensed = F.max(F.col("p_size") == 50)
+    seats = license_floor(F.max(F.col("l_quantity").cast("bigint")), licensed, 38)
     return sized.groupBy("l_suppkey").agg(seats.alias("seats"))
 
 

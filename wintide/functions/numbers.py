@@ -50,6 +50,10 @@ def weighted_level(level: ColumnLike, quantity: ColumnLike, condition: Column) -
     return F.round(F.try_divide(weighted, F.sum(F.when(condition, qty).otherwise(0))))
 
 
-def license_floor(seats: Column, licence_flag: Column, floor: int = 1000) -> Column:
-    """Seats, but never under ``floor`` for an enterprise licence (flag 'Y')."""
-    return F.when(licence_flag == "Y", strict_greatest(seats, F.lit(floor))).otherwise(seats)
+def license_floor(seats: Column, licensed: Column, floor: int = 1000) -> Column:
+    """Seats, but never under ``floor`` where the BOOLEAN ``licensed`` holds.
+
+    Aggregate the licence as a BOOLEAN (``max(flag = 'Y')``): a text maximum would make the whole
+    aggregation sort-based.
+    """
+    return F.when(licensed, strict_greatest(seats, F.lit(floor))).otherwise(seats)

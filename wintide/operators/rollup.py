@@ -121,8 +121,8 @@ def product_rollup(
 
     ``lines``: mrr_date, crm_account_id, product_line, product_offering, product_plan,
     base_product_plan, productrateplancharge_id, baseplan_quantity, net_arr.
-    Both levels are partial aggregates; the level per line comes first so that plan averages weigh
-    seats, then accounts take the maximum over lines.
+    The level per line comes first, so that plan averages weigh seats; accounts then take the maximum
+    over lines. The first level keeps only numbers and BOOLEANs, which lets it stay a hash aggregate.
     """
     paid = lines.filter(
         F.col("crm_account_id").isNotNull()
@@ -147,14 +147,16 @@ def product_rollup(
         .when(F.col("product_type_derived") == "Addon", "Add-on")
         .otherwise(line)
     )
+    # Lines of one product line have at most three kinds, so three flags count them.
+    kinds = [kind == "Answer Bot", kind == "Add-on", ~kind.isin("Answer Bot", "Add-on")]
 
     def seat_sum(condition: Column) -> Column:
         return F.sum(F.when(condition, seats).otherwise(0))
 
     per_line = levelled.groupBy("mrr_date", "crm_account_id", "product_line").agg(
-        F.max("enterpriselicense_ind").alias("__ela"),
+        F.max(F.col("enterpriselicense_ind") == "Y").alias("__ela"),
         F.max(offering.like(premium)).alias("__premium"),
-        F.size(F.collect_set(kind)).alias("__kinds"),
+        sum(F.max(F.when(k, 1).otherwise(0)) for k in kinds).alias("__kinds"),
         F.max(F.when(line.isNotNull(), 1).otherwise(0)).alias("__base"),
         seat_sum(line.isin(*seat_lines)).alias("__seats"),
         seat_sum(on_level).alias("__level_seats"),
@@ -163,7 +165,7 @@ def product_rollup(
         weighted_level("plan_type", "baseplan_quantity", on_level).alias("__avg_level"),
     )
     ela = F.max("__ela")
-    forced = (ela == "Y") | F.max("__premium")
+    forced = ela | F.max("__premium")
 
     def floored(col: str) -> Column:
         return license_floor(F.max(col), ela, seat_floor)

@@ -116,7 +116,7 @@ def paid_seats(charges: DataFrame, products: DataFrame) -> DataFrame:
     )
     seats = F.when(F.col("product_line").isin(*rules.SEAT_LINES), F.col("seats"))
     per_line = known.groupBy(*ACCOUNT_DAY, "product_line").agg(
-        F.max("enterpriselicense_ind").alias("ela"), F.sum(seats.otherwise(0)).alias("seats")
+        F.max(F.col("enterpriselicense_ind") == "Y").alias("ela"), F.sum(seats.otherwise(0)).alias("seats")
     )
     floored = license_floor(F.max("seats"), F.max("ela"))
     return per_line.groupBy(*ACCOUNT_DAY).agg(floored.alias("paid_core_agents"))
