@@ -63,11 +63,12 @@ def read_table(
     path = name if "/" in name else f"{root}/{name}.parquet"
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(parse_schema(schema))
+        reader = reader.schema(schema)
     return reader.parquet(path)
 
 
 def parse_schema(ddl: str) -> StructType:
+    """StructType of a DDL text (needs a running session)."""
     return StructType.fromDDL(ddl)
 
 
@@ -98,15 +99,20 @@ def write_table(
         writer.save(target)
 
 
+def staging_folder(spark: SparkSession) -> str | None:
+    """The shared folder the cluster names, else the context's own checkpoint folder, if any."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.sparkContext.getCheckpointDir()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate to the shared checkpoint folder and read it back.
 
     Cuts the lineage at a table every executor can reach, so lost executors cost a re-read and not
-    a recomputation. The folder is the session's ``spark.checkpoint.dir``; without one the frame
-    comes back unchanged.
+    a recomputation. Without a checkpoint folder the frame comes back unchanged.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = staging_folder(spark)
     if not folder:
         return df
     path = os.path.join(folder, "staged", f"{name}-{uuid.uuid4().hex}")
