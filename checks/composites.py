@@ -73,6 +73,7 @@ from wintide.operators import (
     with_calendar,
     within,
 )
+from wintide.sources import stage
 
 PRIORITY_GROUPS = {
     "high": ["1-URGENT", "2-HIGH"],
@@ -951,3 +952,14 @@ def preaggregated_feature(t: Tables) -> DataFrame:
     feature = t.events.select("user_id", "value", F.to_date("ts").alias("day"))
     out = preaggregate_join(drivers, feature, ["user_id", "day"], [F.max("value").alias("top")])
     return out.select("user_id", "top", F.when(F.col("top") > 50, 1).otherwise(0).alias("large_flag"))
+
+
+@query("""
+SELECT o_custkey, o_orderstatus, round(sum(o_totalprice), 2) AS spend FROM orders GROUP BY ALL
+""")
+def staged_totals(t: Tables) -> DataFrame:
+    """A roll-up written to the shared folder and read back (unchanged without such a folder)."""
+    totals = t.orders.groupBy("o_custkey", "o_orderstatus").agg(
+        F.round(F.sum("o_totalprice"), 2).alias("spend")
+    )
+    return stage(totals, "staged_totals")

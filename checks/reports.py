@@ -15,7 +15,9 @@ from checks.domain import AS_OF, SNAPSHOT, Domain, prelude
 from checks.registry import Tables, query
 from wintide import plans
 from wintide.functions import yesterday_in
+from wintide.operators import current_rows, product_rollup
 from wintide.plans import rules
+from wintide.plans.midmarket import charge_totals
 
 TODAY = date.fromisoformat(AS_OF)
 DAY = date.fromisoformat(SNAPSHOT)
@@ -293,6 +295,26 @@ MM_EXPANSIONS = f"""mm_expansions AS (
 MM_CHAIN = (*MM_FEATURES, MM_ACCOUNTS, CLOSED_SQL, HISTORY_SQL, MM_EXPANSIONS)
 
 
+
+@query(
+    prelude(*MM_FEATURES)
+    + """SELECT mrr_date::VARCHAR AS mrr_date, crm_account_id, combo AS product_combo, seats AS paid_agents,
+  support_seats AS paid_support_agents, top_level AS max_support_plan FROM levels"""
+)
+def revenue_rollup(t: Tables) -> DataFrame:
+    """Revenue lines -> product lines -> accounts, over every account and day."""
+    d = domain(t)
+    lines = charge_totals(d["revenue_lines"])
+    out = product_rollup(lines, current_rows(d["product_dim"]), d["product_plan_matrix"])
+    return out.select(
+        "mrr_date",
+        "crm_account_id",
+        "product_combo",
+        "paid_agents",
+        "paid_support_agents",
+        "max_support_plan",
+    )
+
 def mm_domain(t: Tables) -> Domain:
     d = domain(t)
 

@@ -67,6 +67,8 @@ def test_edge_events_sum_lines_and_break_ties(frame):
     assert (got["a"]["last"]["opp"], got["a"]["last"]["amount"]) == ("o3", 7.0)
     assert got["b"]["first"]["amount"] is None
     assert edge_events(events, ["k"], "d", ["opp"], "amt", which=["last"]).columns == ["k", "last"]
+    sets = edge_events(events, ["k"], "d", ["opp"], "amt", which=[], value_sets={"opps": "opp"})
+    assert rows_of(sets, "k", "opps") == [("a", ["o1", "o2", "o3"]), ("b", ["o9"])]
 
 
 def test_dominant_value(frame):

@@ -58,18 +58,21 @@ def edge_events(
     amount: str,
     total: str = "amount",
     which: Sequence[str] = ("first", "last"),
+    value_sets: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """First and/or last event per key, as struct columns ``first`` / ``last``.
 
     Lines are first summed per (key, date, details); the details also break ties (smallest for
     first, largest for last). Both edges come out of one aggregation. Keys with a NULL part are
-    dropped: nothing can join to them.
+    dropped: nothing can join to them. ``value_sets`` (name -> column) adds the sorted distinct
+    values of a detail column, such as the event types.
     """
     valid = events.dropna(subset=list(keys))
     lines = valid.groupBy(*keys, date, *details).agg(F.sum(amount).alias(total))
     event = F.struct(date, *details, total)
     edges = {"first": F.min(event), "last": F.max(event)}
-    return lines.groupBy(*keys).agg(*[edges[w].alias(w) for w in which])
+    sets = [F.array_sort(F.collect_set(c)).alias(n) for n, c in (value_sets or {}).items()]
+    return lines.groupBy(*keys).agg(*[edges[w].alias(w) for w in which], *sets)
 
 
 def dominant_value(

@@ -75,21 +75,20 @@ def typed_metrics(
     sum_name: str = "{}_amount",
     total_count: str = "num_events",
     total_sum: str | None = "total_amount",
-    type_list: str | None = None,
 ) -> DataFrame:
     """Distinct events and summed amount per key, overall and for each group of types.
 
     Lines are first reduced to (key, event), which makes every distinct count a plain sum: no row
-    expansion per distinct expression, and a hot key is spread by event id.
+    expansion per distinct expression, and a hot key is spread by event id. Both levels are hash
+    aggregates.
     """
     flags, sums = [], []
     for group, values in groups.items():
         hit = F.col(type_col).isin(*values)
         flags.append(F.max(F.when(hit, 1).otherwise(0)).alias(f"__f_{group}"))
         sums.append(F.sum(F.when(hit, F.col(amount)).otherwise(0)).alias(f"__s_{group}"))
-    types = [] if type_list is None else [F.collect_set(type_col).alias("__types")]
     per_event = events.groupBy(*keys, event_id).agg(
-        *flags, *sums, F.sum(amount).alias("__total"), *types
+        *flags, *sums, F.sum(amount).alias("__total")
     )
     known = F.col(event_id).isNotNull()
     out = [F.count(event_id).alias(total_count)]
@@ -100,9 +99,6 @@ def typed_metrics(
         out.append(F.sum(f"__s_{group}").alias(sum_name.format(group)))
     if total_sum is not None:
         out.append(F.sum("__total").alias(total_sum))
-    if type_list is not None:
-        merged = F.array_distinct(F.flatten(F.collect_set("__types")))
-        out.append(F.array_sort(merged).alias(type_list))
     return per_event.groupBy(*keys).agg(*out)
 
 

@@ -22,11 +22,19 @@ def closed_expansions(opportunities: DataFrame) -> DataFrame:
 def expansion_history(opportunities: DataFrame, accounts: DataFrame) -> DataFrame:
     """First, last and typed expansions of accounts whose first one lies after their win date.
 
-    ``accounts``: crm_account_id, account_win_date. One pass gives both edges, one gives all typed
-    counts and sums; both are one row per account before they meet the accounts.
+    ``accounts``: crm_account_id, account_win_date. One pass gives both edges and the set of types,
+    one gives all typed counts and sums; both are one row per account before they meet the accounts.
     """
     closed = closed_expansions(opportunities)
-    edges = edge_events(closed, ["accountid"], "close_date", EDGE_DETAILS, "total_booking_arr_usd", "arr")
+    edges = edge_events(
+        closed,
+        ["accountid"],
+        "close_date",
+        EDGE_DETAILS,
+        "total_booking_arr_usd",
+        "arr",
+        value_sets={"__types": "type_of_expansion"},
+    )
     metrics = typed_metrics(
         closed,
         ["accountid"],
@@ -38,7 +46,6 @@ def expansion_history(opportunities: DataFrame, accounts: DataFrame) -> DataFram
         sum_name="{}_exp_arr",
         total_count="num_expansions",
         total_sum="total_exp_arr",
-        type_list="__types",
     )
     history = lookup(edges, metrics, "accountid", how="inner")
     dated = lookup(accounts.distinct(), history, [("crm_account_id", "accountid")], how="inner")

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE turns the static shuffle width into an upper bound and splits skewed join partitions.
+# AQE turns the static shuffle width into an upper bound and splits skewed join partitions. The forced
+# form also splits them where that costs one more shuffle, as in a join followed by an aggregation on
+# the same key; it acts only on partitions that AQE measured as skewed.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
