@@ -294,7 +294,7 @@ FROM wins LEFT JOIN daily USING (o_custkey) WHERE day = win_date AND win_date >=
 UNION ALL
 SELECT o_custkey, top, n FROM (SELECT * FROM wins WHERE win_date < DATE '1995-06-01') w
 LEFT JOIN (SELECT * FROM daily WHERE day = DATE '1995-06-01') d USING (o_custkey)
-""")
+""", maybe_null=["orders_at_win"])
 def state_at_win(t: Tables) -> DataFrame:
     """Fact row at the win date, moved up to the start of history where that is later."""
     daily = t.orders.groupBy("o_custkey", F.to_date("o_orderdate").alias("day")).agg(
@@ -375,7 +375,7 @@ WITH dirty AS (
     WHEN 2 THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS ref FROM orders)
 SELECT o_orderkey, CAST(trunc(try_cast(ref AS DOUBLE) + 0.5) AS BIGINT) AS numeric_id,
   split_part(ref, '.', 1) AS prefix_id FROM dirty
-""")
+""", maybe_null=["numeric_id"])
 def normalize_ids(t: Tables) -> DataFrame:
     cust = F.col("o_custkey").cast("string")
     turn = F.col("o_orderkey") % 4
@@ -513,7 +513,7 @@ def semi_filter_large_buyers(t: Tables) -> DataFrame:
 WITH s AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase')
 SELECT c_custkey, CASE WHEN c_custkey IN (FROM s) THEN c_custkey END AS buyer,
   CASE WHEN c_custkey NOT IN (FROM s) THEN c_custkey END AS non_buyer FROM customer
-""")
+""", maybe_null=["buyer", "non_buyer"])
 def membership_flags(t: Tables) -> DataFrame:
     buyers = t.events.filter("event_type = 'purchase'").select("user_id")
     on, key = ("c_custkey", "user_id"), F.col("c_custkey")
@@ -525,14 +525,15 @@ def membership_flags(t: Tables) -> DataFrame:
 @query("""
 WITH s AS (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END AS k FROM orders WHERE o_totalprice > 400000),
 p AS (SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN c_custkey END AS probe FROM customer)
-SELECT c_custkey, probe IN (FROM s) AS member FROM p
+SELECT c_custkey, CAST(probe IN (FROM s) AS VARCHAR) AS member FROM p
 """)
 def membership_with_nulls(t: Tables) -> DataFrame:
     """Three-valued IN: NULL probes and a NULL inside the set stay undecided."""
     key = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).alias("k")
     keys = t.orders.filter("o_totalprice > 400000").select(key)
     probe = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 3 > 0, F.col("c_custkey")).alias("probe"))
-    return is_member(probe, keys, ("probe", "k"), "member").drop("probe")
+    out = is_member(probe, keys, ("probe", "k"), "member")
+    return out.select("c_custkey", F.col("member").cast("string").alias("member"))
 
 
 @query("""
@@ -596,7 +597,11 @@ def windowed_customers(t: Tables) -> DataFrame:
     return out.withColumns({f"exp_arr_{n}d": F.round(f"exp_arr_{n}d", 2) for n in DAYS})
 
 
-@query(f"WITH {WINDOWS} SELECT * EXCLUDE (win_date) FROM windows")
+@query(f"WITH {WINDOWS} SELECT * EXCLUDE (win_date) FROM windows", maybe_null=[
+        "exp_30d", "exp_60d", "exp_90d", "exp_120d", "exp_150d", "exp_180d", "exp_210d",
+        "exp_240d", "exp_270d", "exp_300d", "exp_330d", "exp_360d", "exp_390d",
+        "exp_420d", "exp_450d",
+    ])
 def tenure_window_sums(t: Tables) -> DataFrame:
     return windowed_customers(t).drop("win_date")
 
@@ -606,7 +611,10 @@ WITH {WINDOWS}
 SELECT CAST(year(win_date) AS INTEGER) AS win_year, c_mktsegment,
   {", ".join(f"round(sum(exp_arr_{n}d), 2) AS exp_arr_{n}d, CAST(sum(exp_{n}d) AS BIGINT) AS exp_{n}d" for n in range(30, 361, 30))}
 FROM windows JOIN customer ON o_custkey = c_custkey GROUP BY ALL
-""")
+""", maybe_null=[
+        "exp_30d", "exp_60d", "exp_90d", "exp_120d", "exp_150d", "exp_180d", "exp_210d",
+        "exp_240d", "exp_270d", "exp_300d", "exp_330d", "exp_360d",
+    ])
 def cohort_windows(t: Tables) -> DataFrame:
     named = lookup(windowed_customers(t), t.customer, [("o_custkey", "c_custkey")], ["c_mktsegment"], "inner")
     money = [f"exp_arr_{n}d" for n in range(30, 361, 30)]
@@ -807,7 +815,7 @@ SELECT c_custkey, c_name, n_name, spend, orders, top_quantity, last_seen,
   CASE WHEN active.user_id IS NOT NULL THEN '1' ELSE '0' END AS active_flag
 FROM customer LEFT JOIN spend ON c_custkey = spend.o_custkey LEFT JOIN lines ON c_custkey = lines.o_custkey
 LEFT JOIN active ON c_custkey = user_id LEFT JOIN nation ON c_nationkey = n_nationkey
-""")
+""", maybe_null=["orders"])
 def account_360_view(t: Tables) -> DataFrame:
     spend = t.orders.filter("o_orderstatus = 'F'").groupBy("o_custkey").agg(
         F.round(F.sum("o_totalprice"), 2).alias("spend"), F.count(F.lit(1)).alias("orders")
@@ -932,7 +940,7 @@ def split_names(t: Tables) -> DataFrame:
 @query(f"""
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN CAST(date_diff('day', DATE '{AS_OF}', o_orderdate::DATE + 30) AS INTEGER) END AS days_left
 FROM orders WHERE o_orderstatus IN ('F', 'O') OR (o_orderstatus = 'P' AND o_orderdate >= TIMESTAMP '2000-01-01')
-""")
+""", maybe_null=["days_left"])
 def eligible_accounts(t: Tables) -> DataFrame:
     """State in a set, or expired after a date; running rows also get their days left."""
     status = F.col("o_orderstatus")

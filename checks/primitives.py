@@ -149,7 +149,7 @@ WITH newest AS (
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
 SELECT c_custkey, o_orderkey AS newest_order, o_totalprice AS newest_price
 FROM customer LEFT JOIN newest ON c_custkey = o_custkey
-""")
+""", maybe_null=["newest_order"])
 def left_join_on_latest(t: Tables) -> DataFrame:
     newest = latest_per_key(t.orders, ["o_custkey"], "o_orderdate", tie_breakers=["o_orderkey"]).select(
         "o_custkey",
@@ -364,7 +364,7 @@ SELECT p_partkey,
   CAST(trunc(p_size / 2.0 + 0.5) AS BIGINT) AS half_up,
   coalesce(known_size, -1) AS size_or_default
 FROM p
-""")
+""", maybe_null=["at_least_25", "at_most_25"])
 def math_functions(t: Tables) -> DataFrame:
     known = F.when(F.col("p_size") > 10, F.col("p_size"))
     return t.part.select(

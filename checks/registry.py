@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,24 +26,34 @@ class Tables:
         return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
 
 
-def plain_dates(df: DataFrame) -> DataFrame:
-    """Dates as ISO text, so both engines hand the comparison the same value."""
-    return df.select(
-        *[
-            F.col(f.name).cast("string").alias(f.name)
-            if isinstance(f.dataType, T.DateType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+def comparable(df: DataFrame, maybe_null: Sequence[str]) -> DataFrame:
+    """Values that reach Python alike from both engines: dates as ISO text, integer columns that
+    hold NULLs as DOUBLE (pandas has no NULL integer)."""
 
+    def shown(field: T.StructField) -> Column:
+        if isinstance(field.dataType, T.DateType):
+            return F.col(field.name).cast("string").alias(field.name)
+        if field.name in maybe_null:
+            return F.col(field.name).cast("double").alias(field.name)
+        return F.col(field.name)
 
-def query(sql: str) -> Callable[[Callable[[Tables], DataFrame]], Query]:
-    """Register ``fn(tables)`` under its own name with its oracle."""
+    return df.select(*[shown(f) for f in df.schema.fields])
+
+
+def query(
+    sql: str, maybe_null: Sequence[str] = ()
+) -> Callable[[Callable[[Tables], DataFrame]], Query]:
+    """Register ``fn(tables)`` under its own name with its oracle.
+
+    ``maybe_null`` names the integer columns that can hold NULLs; both sides show them as DOUBLE.
+    """
+    if maybe_null:
+        doubles = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in maybe_null)
+        sql = f"SELECT * REPLACE ({doubles}) FROM ({sql}) shown"
 
     def register(fn: Callable[[Tables], DataFrame]) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return plain_dates(fn(Tables(spark, folder)))
+            return comparable(fn(Tables(spark, folder)), maybe_null)
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

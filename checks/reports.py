@@ -146,7 +146,8 @@ def smb_domain(t: Tables) -> Domain:
 
 @query(
     prelude(*SMB_FEATURES, SMB_ACCOUNTS)
-    + "SELECT * REPLACE (mrr_date::VARCHAR AS mrr_date, account_win_date::VARCHAR AS account_win_date) FROM smb_accounts"
+    + "SELECT * REPLACE (mrr_date::VARCHAR AS mrr_date, account_win_date::VARCHAR AS account_win_date) FROM smb_accounts",
+    maybe_null=["paid_agents_today", "paid_core_agents_at_win", "agent_diff"],
 )
 def smb_accounts_today(t: Tables) -> DataFrame:
     return plans.accounts_today(domain(t), DAY, as_of(), yesterday(), FISCAL_FROM, HISTORY_FROM)
@@ -200,7 +201,12 @@ LEFT JOIN histories h ON h.accountid = crm_account_id AND h.first_expansion_date
         "h.first_expansion_date - account_win_date", "h.first_expansion_date - l.account_win_date"
     ).replace("account_win_date::VARCHAR", "w.account_win_date::VARCHAR").replace(
         "(mrr_date::VARCHAR", "(w.mrr_date::VARCHAR"
-    )
+    ),
+    maybe_null=[
+        "days_to_first_expansion", "months_to_first_expansion", "num_expansions",
+        "total_agent_expansions", "total_plan_shifts", "total_product_expansions",
+        "total_new_instance_expansions", "total_new_contract_expansions",
+    ],
 )
 def smb_account_expansions(t: Tables) -> DataFrame:
     return plans.account_expansions(smb_domain(t))
@@ -334,12 +340,20 @@ GRANULAR_SQL = (
 )
 
 
-@query(GRANULAR_SQL)
+@query(GRANULAR_SQL, maybe_null=[
+        "paid_agents_at_win", "paid_support_agents_at_win", "max_support_plan_at_win",
+        "paid_agents_today", "paid_support_agents_today", "max_support_plan",
+        "num_engaged_products", "core_products_activated",
+    ])
 def mm_accounts_granular(t: Tables) -> DataFrame:
     return plans.accounts_granular(domain(t), DIMENSION_FROM, HISTORY_FROM)
 
 
-@query(GRANULAR_SQL)
+@query(GRANULAR_SQL, maybe_null=[
+        "paid_agents_at_win", "paid_support_agents_at_win", "max_support_plan_at_win",
+        "paid_agents_today", "paid_support_agents_today", "max_support_plan",
+        "num_engaged_products", "core_products_activated",
+    ])
 def mm_accounts_granular_sliced(t: Tables) -> DataFrame:
     """Same report with the dimension look-ups spread over yearly slices."""
     return plans.accounts_granular(domain(t), DIMENSION_FROM, HISTORY_FROM, slice_months=12)
@@ -347,7 +361,13 @@ def mm_accounts_granular_sliced(t: Tables) -> DataFrame:
 
 @query(
     prelude(*MM_CHAIN)
-    + f"SELECT * REPLACE (account_win_date::VARCHAR AS account_win_date, {HISTORY_DATES}) FROM mm_expansions"
+    + f"SELECT * REPLACE (account_win_date::VARCHAR AS account_win_date, {HISTORY_DATES}) FROM mm_expansions",
+    maybe_null=[
+        "max_support_plan_at_win", "days_to_first_expansion", "months_to_first_expansion",
+        "num_expansions", "total_agent_expansions", "total_plan_shifts",
+        "total_product_expansions", "total_new_instance_expansions",
+        "total_new_contract_expansions",
+    ],
 )
 def mm_expansions_granular(t: Tables) -> DataFrame:
     return plans.expansions_granular(mm_domain(t))
@@ -384,7 +404,11 @@ MM_BY_TYPE = f"""mm_by_type AS (
 @query(
     prelude(*MM_CHAIN, MM_BY_TYPE)
     + """SELECT * REPLACE (win_date::VARCHAR AS win_date, churn_date::VARCHAR AS churn_date,
-  first_expansion_date::VARCHAR AS first_expansion_date) FROM mm_by_type"""
+  first_expansion_date::VARCHAR AS first_expansion_date) FROM mm_by_type""",
+    maybe_null=[
+        "churn_year", "max_support_plan_at_win", "months_to_first_expansion",
+        "days_to_first_expansion", "total_exp_by_type", "age_months",
+    ],
 )
 def mm_expansions_by_type(t: Tables) -> DataFrame:
     return plans.expansions_by_type(mm_domain(t), CHURN_CUTOFF)
@@ -403,7 +427,12 @@ def _cohort_window(n: int) -> str:
     prelude(*MM_CHAIN)
     + f"""SELECT win_year, active_status, crm_owner_region, max_support_plan_at_win, sales_model_at_win, term_at_win,
   product_mix_at_win, market_segment_at_win, market_segment, {", ".join(_cohort_window(n) for n in range(30, 361, 30))}
-FROM mm_expansions LEFT JOIN closed o ON o.accountid = crm_account_id WHERE days_to_first_expansion > 0 GROUP BY ALL"""
+FROM mm_expansions LEFT JOIN closed o ON o.accountid = crm_account_id WHERE days_to_first_expansion > 0 GROUP BY ALL""",
+    maybe_null=[
+        "max_support_plan_at_win", "exp_30d", "exp_60d", "exp_90d", "exp_120d",
+        "exp_150d", "exp_180d", "exp_210d", "exp_240d", "exp_270d", "exp_300d",
+        "exp_330d", "exp_360d",
+    ],
 )
 def mm_expansion_windows(t: Tables) -> DataFrame:
     return plans.expansion_windows(mm_domain(t), as_of())
@@ -439,7 +468,8 @@ WON_SQL = """won AS (
   CAST(opportunity_close_date::DATE - created_date::DATE AS INTEGER) AS lead_to_win_days,
   CAST(opportunity_close_date::DATE - mql_date::DATE AS INTEGER) AS mql_to_win_days,
   CAST(opportunity_close_date::DATE - opportunity_created_date::DATE AS INTEGER) AS opp_to_win_days,
-  CAST(opportunity_created_date::DATE - mql_date::DATE AS INTEGER) AS mql_to_opp_days FROM won"""
+  CAST(opportunity_created_date::DATE - mql_date::DATE AS INTEGER) AS mql_to_opp_days FROM won""",
+    maybe_null=["mql", "mql_to_win_days", "mql_to_opp_days"],
 )
 def mm_won_leads(t: Tables) -> DataFrame:
     return plans.won_leads(domain(t))
@@ -455,7 +485,8 @@ def mm_won_leads(t: Tables) -> DataFrame:
 FROM won JOIN (SELECT DISTINCT crm_account_id, active_status, crm_owner_region_clean, agent_band_at_win, max_support_plan_at_win,
     product_combo_at_win, sales_model_at_win, term_at_win, product_mix_at_win, market_segment_at_win, market_segment, crm_arr_band_ops_at_win,
     product_mix_change_from_win, market_segment_change_from_win, net_arr_usd_at_win, net_arr_usd FROM mm_accounts
-  WHERE fraud_flag = 'Not Fraudulent') m ON m.crm_account_id = converted_accountid GROUP BY ALL"""
+  WHERE fraud_flag = 'Not Fraudulent') m ON m.crm_account_id = converted_accountid GROUP BY ALL""",
+    maybe_null=["max_support_plan_at_win", "mqls"],
 )
 def mm_leads_to_accounts(t: Tables) -> DataFrame:
     return plans.leads_to_accounts(mm_domain(t))
@@ -523,7 +554,18 @@ def plain_instants(df: DataFrame) -> DataFrame:
     + f"""SELECT * REPLACE ({ISO_DATES}) FROM (
 SELECT {OVERVIEW_FIELDS}, c.* EXCLUDE (account_id), chat_conversations_in_last_day, f.* EXCLUDE (account_id)
 FROM eligible e LEFT JOIN admins d ON d.admin_account = e.account_id {OVERVIEW_JOINS}
-LEFT JOIN bots b ON b.account_id = e.account_id AND b.run_at = latest_run_at LEFT JOIN talks t ON t.instance_id = e.account_id)"""
+LEFT JOIN bots b ON b.account_id = e.account_id AND b.run_at = latest_run_at LEFT JOIN talks t ON t.instance_id = e.account_id)""",
+    maybe_null=[
+        "support_days_left_in_trial", "agent_id", "agent_is_active", "agent_is_verified",
+        "num_users", "num_admins", "num_agents", "num_light_agents",
+        "answer_bot_days_elapsed", "answer_bot_estimated_resolutions",
+        "answer_bot_max_resolutions", "answer_bot_resolutions_used",
+        "answer_bot_boosted_resolutions", "explore_activation_flag", "calls_last_30_days",
+        "support_agents", "support_tickets", "support_one_touch_tickets",
+        "support_custom_ticket_fields", "support_tickets_created_last_14_days",
+        "support_tickets_created_last_30_days", "talk_total_agents",
+        "chat_conversations_in_last_day",
+    ],
 )
 def account_overview(t: Tables) -> DataFrame:
     return plain_instants(plans.account_overview_report(domain(t), as_of(), TRIAL_FROM))
@@ -581,7 +623,24 @@ LEFT JOIN product_scores p ON p.account_id = e.account_id LEFT JOIN chats h ON h
 LEFT JOIN guide g ON g.account_id = e.account_id LEFT JOIN voice v ON v.account_id = e.account_id AND v.run_at = latest_run_at
 LEFT JOIN (SELECT account_id, run_at, max(total_events_28) AS captures FROM knowledge_capture GROUP BY ALL) k
   ON k.account_id = e.account_id AND k.run_at = latest_run_at
-LEFT JOIN churn_scores r ON r.crm_account_id = sfdc_crm_id)"""
+LEFT JOIN churn_scores r ON r.crm_account_id = sfdc_crm_id)""",
+    maybe_null=[
+        "support_days_left_in_trial", "num_users", "num_admins", "num_agents",
+        "num_light_agents", "answer_bot_days_elapsed", "answer_bot_estimated_resolutions",
+        "answer_bot_max_resolutions", "answer_bot_resolutions_used",
+        "answer_bot_boosted_resolutions", "explore_activation_flag", "support_agents",
+        "support_tickets", "support_one_touch_tickets", "support_custom_ticket_fields",
+        "support_tickets_created_last_14_days", "support_tickets_created_last_30_days",
+        "talk_total_agents", "chat_id", "chat_max_agents", "chat_enabled_agent_count",
+        "chat_enabled_triggers", "guide_account_id", "guide_active_trial_flag",
+        "guide_max_agents", "guide_num_article_edits_28d", "guide_num_articles",
+        "guide_num_articles_added_28d", "guide_num_hc", "guide_num_hc_archived",
+        "guide_num_hc_embeddables_automatic_answers",
+        "guide_num_hc_embeddables_web_widget", "guide_num_hc_enabled",
+        "guide_num_hc_restricted", "guide_content_cues_activated_flag", "talk_account_id",
+        "talk_active_trial_flag", "talk_num_days_in_trial", "has_talk_subscription",
+        "talk_is_active", "talk_active_flag",
+    ],
 )
 def account_360_full(t: Tables) -> DataFrame:
     return plain_instants(plans.account_360_report(domain(t), as_of(), TRIAL_FROM))
