@@ -280,8 +280,15 @@ def scd2_as_of_ship_date(t: Tables) -> DataFrame:
 def scd2_as_of_by_slice(t: Tables) -> DataFrame:
     """Same rows as the plain form, with versions unrolled over half-year slices."""
     at = as_of_instant("ship_day", date(1996, 7, 1))
+    ship_days = t.lineitem.select(F.to_date("l_shipdate").alias("ship_day"))
     out = scd2_as_of(
-        shipments(t), priority_history(t), [("o_custkey", "id")], at, columns=["priority"], slice_months=6
+        shipments(t),
+        priority_history(t),
+        [("o_custkey", "id")],
+        at,
+        columns=["priority"],
+        slice_months=6,
+        reach_of=ship_days,
     )
     return out.drop("ship_day")
 

@@ -2,7 +2,7 @@
 
 Keys are pairs (left column, right column). The right side is narrowed to what is asked for and its
 keys are renamed, so the result has the left columns plus the fetched ones and no ambiguity. No
-broadcast hint is ever set: Spark broadcasts a side only when its measured size is under
+broadcast hint is set here: Spark broadcasts a side only when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and uses a shuffled join (split by AQE when skewed)
 otherwise.
 """

@@ -134,9 +134,10 @@ def quota_cut(
     cuts = reached.groupBy(region).agg(
         F.min_by(rank, "__upto").alias("__cut"), F.count(F.lit(1)).alias("__reached")
     )
+    # One row per quota given in the call: the one side here whose size is known beforehand.
     how = "left" if short == "all" else "inner"
-    passed = lookup(in_scope, cuts, region, how=how)
+    passed = in_scope.join(F.broadcast(cuts), region, how)
     keep = F.col(rank) <= F.col("__cut")
     if short == "all":
         keep = keep | F.col("__reached").isNull()
-    return passed.filter(keep).drop("__cut", "__reached")
+    return passed.filter(keep).select(*df.columns)
