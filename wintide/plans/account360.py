@@ -136,6 +136,8 @@ def per_admin(df: DataFrame) -> DataFrame:
 
 
 AT_LATEST_RUN = ["account_id", ("latest_run_at", "__run")]
+# By account; the agent lets the range partitioning split an account with very many agents.
+SORT_KEYS = ["account_id", "agent_id"]
 
 
 def staff_counts(t: Tables) -> DataFrame:
@@ -344,7 +346,7 @@ def account_360_report(t: Tables, as_of: Column, trial_from: date) -> DataFrame:
     wide = account_360(eligible_instances(t, as_of, trial_from), features)
     capture_flag = F.when(F.col("__captures") > 0, 1).otherwise(0)
     wide = wide.withColumn("guide_knowledge_capture_flag", capture_flag).drop("__captures").distinct()
-    return per_admin(lookup(wide, admins(t), AT_LATEST_RUN, how="inner")).orderBy(key)
+    return per_admin(lookup(wide, admins(t), AT_LATEST_RUN, how="inner")).orderBy(*SORT_KEYS)
 
 
 def chat_conversations(t: Tables, instances: DataFrame) -> DataFrame:
@@ -386,4 +388,4 @@ def account_overview_report(
     wide = account_360(instances, features)
     if stage is not None:
         wide = stage(wide, "account_overview")
-    return per_admin(lookup_many(wide, admins(t), AT_LATEST_RUN)).orderBy(key)
+    return per_admin(lookup_many(wide, admins(t), AT_LATEST_RUN)).orderBy(*SORT_KEYS)

@@ -92,10 +92,20 @@ def cross_sell_targets(
 
 
 def paid_plans(t: Tables, dimension_start: date = rules.DIMENSION_START) -> DataFrame:
-    """Paid products, plan levels and seats per billing account and instance, newest snapshot."""
+    """Paid products, plan levels and seats per billing account and instance, newest snapshot.
+
+    Lines are summed per charge before the dimension joins, so that a billing account with very
+    many lines brings one row per charge.
+    """
     lines = latest_snapshot(t["revenue_lines"], "mrr_date").filter(
         F.col("crm_account_id").isNotNull() & (F.col("net_arr_usd") > 0)
     )
+    charge = ["product_line", "product_offering", "productrateplancharge_id"]
+    plan = F.coalesce("base_product_plan", "product_plan").alias("__plan")
+    paid = F.when(F.col("net_arr") > 0, F.col("baseplan_quantity")).otherwise(0)
+    lines = lines.groupBy("mrr_date", "crm_account_id", "account_id", *charge, plan).agg(
+        F.sum(paid).alias("seats")
+    )
     at = as_of_instant("mrr_date", dimension_start)
     out = scd2_as_of(
         lines, t["customer_dim"], [("account_id", "billing_account_id")], at, columns=["instance_ref"]
@@ -103,25 +113,18 @@ def paid_plans(t: Tables, dimension_start: date = rules.DIMENSION_START) -> Data
     out = lookup(
         out, current_rows(t["product_dim"]), "productrateplancharge_id", columns=[], how="inner"
     )
-    plan = F.coalesce("base_product_plan", "product_plan")
-    out = lookup(
-        out.withColumn("__plan", plan),
-        t["product_plan_matrix"],
-        [("__plan", "product_plan")],
-        ["plan_type"],
-    )
+    out = lookup(out, t["product_plan_matrix"], [("__plan", "product_plan")], ["plan_type"])
     line = F.col("product_line")
 
     def level(name: str) -> Column:
         return F.max(F.when(line == name, F.col("plan_type")).otherwise(0))
 
     keys = ["mrr_date", "crm_account_id", "account_id", "instance_ref"]
-    paid = F.when(F.col("net_arr") > 0, F.col("baseplan_quantity")).otherwise(0)
     per_line = out.groupBy(*keys, "product_line").agg(
         distinct_list("product_offering").alias("offerings"),
         level("Suite").alias("suite"),
         level("Guide").alias("guide"),
-        F.sum(paid).alias("seats"),
+        F.sum("seats").alias("seats"),
     )
     instance = normalize_id("instance_ref", "prefix").alias("instance_id")
     return per_line.groupBy("mrr_date", "crm_account_id", "account_id", instance).agg(
