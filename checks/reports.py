@@ -18,6 +18,7 @@ from wintide.functions import yesterday_in
 from wintide.operators import current_rows, product_rollup
 from wintide.plans import rules
 from wintide.plans.midmarket import charge_totals
+from wintide.sources import stage
 
 TODAY = date.fromisoformat(AS_OF)
 DAY = date.fromisoformat(SNAPSHOT)
@@ -568,7 +569,7 @@ LEFT JOIN bots b ON b.account_id = e.account_id AND b.run_at = latest_run_at LEF
     ],
 )
 def account_overview(t: Tables) -> DataFrame:
-    return plain_instants(plans.account_overview_report(domain(t), as_of(), TRIAL_FROM))
+    return plain_instants(plans.account_overview_report(domain(t), as_of(), TRIAL_FROM, stage))
 
 
 CHAT_SQL = """chats AS (

@@ -18,6 +18,7 @@ from wintide.operators import (
     trailing_sum,
     typed_metrics,
 )
+from wintide.sources import write_table
 
 DATA = "/root/testdata/sf0.001"
 
@@ -44,6 +45,18 @@ def test_snapshot_maximum_reaches_the_scan_as_a_filter(orders):
     assert "Join" not in text
 
 
+def test_snapshot_maximum_prunes_partitions(spark, orders, tmp_path):
+    path = f"{tmp_path}/by_day.parquet"
+    daily = orders.filter("o_orderkey < 20").withColumn("day", F.to_date("o_orderdate"))
+    write_table(daily, path, partition_by=["day"])
+    stored = spark.read.parquet(path)
+    newest = latest_snapshot(stored, "day")
+    assert "PartitionFilters: [isnotnull(day" in plan(newest)
+    assert newest.count() == daily.filter(F.col("day") == daily.agg(F.max("day")).first()[0]).count()
+    scan = [line for line in plan(newest).splitlines() if "PartitionFilters" in line][0]
+    assert "Subquery" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
 def test_rank_filter_is_applied_before_the_shuffle(orders):
     text = plan(latest_per_key(orders, ["o_custkey"], "o_orderdate", tie_breakers=["o_orderkey"]))
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
