@@ -12,7 +12,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str]] = {}
 
 AS_OF = "2001-08-01"
-EVENTS_AS_OF = "2024-01-31"
 
 
 class Tables:

@@ -11,6 +11,7 @@ from wintide.operators import (
     dominant_value,
     edge_events,
     latest_per_key,
+    lookup,
     lookup_many,
     quota_cut,
     scd2_as_of,
@@ -103,3 +104,39 @@ def test_hot_right_side(spark, skewed, plain):
     out = lookup_many(keys, skewed.select("k", "id"), [("key", "k")])
     sql = "SELECT key, id FROM range(1000) r(key) LEFT JOIN skewed ON k = key"
     assert rows_of(out, "key", "id") == expected(plain, sql)
+
+
+@pytest.fixture
+def eager_skew_split(spark):
+    """Sort-merge joins only, and AQE thresholds small enough for the test data."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_hot_left_key_is_split(spark, skewed, eager_skew_split):
+    dim = spark.range(1000).select(F.col("id").alias("key"), F.lit("x").alias("name"))
+    joined = lookup(skewed.select("k", "id", "type"), dim, [("k", "key")])
+    assert "SortMergeJoin(skew=true)" in final_plan(joined)
+    # also below an aggregation on the join key, at the price of one more shuffle
+    assert "SortMergeJoin(skew=true)" in final_plan(joined.groupBy("k").agg(F.max("id"), F.max("name")))
+
+
+def test_hot_right_key_is_split_only_by_lookup_many(spark, skewed, eager_skew_split):
+    keys = spark.range(1000).select(F.col("id").alias("key"), F.lit("x").alias("name"))
+    events = skewed.select("k", "id", "type")
+    assert "skew=true" not in final_plan(lookup(keys, events, [("key", "k")]))
+    assert "SortMergeJoin(skew=true)" in final_plan(lookup_many(keys, events, [("key", "k")]))
