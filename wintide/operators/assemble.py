@@ -24,24 +24,37 @@ class Feature:
 
 
 def account_360(driver: DataFrame, features: Sequence[Feature]) -> DataFrame:
-    """Attach every feature by a left join; features that share the driver's key share its exchange.
+    """Attach every feature by a left join.
 
-    A feature with several rows per key repeats the driver row, as a left join does; use
-    ``duplicate_keys`` to check a feature that must be unique.
+    Features are joined key by key (in order of first use), so the driver is shuffled once per
+    distinct key and not once per change of key; columns come out in the order of ``features``. A
+    feature with several rows per key repeats the driver row, as a left join does; use
+    ``duplicate_keys`` to check a feature that must be unique. Give the driver one row per account:
+    rows of a hot driver key stay together through the whole chain.
     """
+    by_key: dict[tuple[str, ...], list[Feature]] = {}
+    for feature in features:
+        left_keys = tuple(left for left, _ in key_pairs(feature.on))
+        by_key.setdefault(left_keys, []).append(feature)
     out = driver
-    for i, feature in enumerate(features):
-        right_keys = [r for _, r in key_pairs(feature.on)]
-        columns = feature.columns
-        if columns is None:
-            columns = [c for c in feature.df.columns if c not in right_keys]
-        wanted: list[str | Column] = list(columns)
+    for feature in [f for group in by_key.values() for f in group]:
+        wanted: list[str | Column] = list(_feature_columns(feature))
         if feature.flag is not None:
-            wanted.append(F.lit(True).alias(f"__hit{i}"))
+            wanted.append(F.lit(True).alias("__hit"))
         out = lookup(out, feature.df, feature.on, wanted)
         if feature.flag is not None:
-            out = out.withColumn(feature.flag, presence_flag(F.col(f"__hit{i}"))).drop(f"__hit{i}")
-    return out
+            out = out.withColumn(feature.flag, presence_flag(F.col("__hit"))).drop("__hit")
+    added = []
+    for feature in features:
+        added += [*_feature_columns(feature), *([feature.flag] if feature.flag else [])]
+    return out.select(*driver.columns, *added)
+
+
+def _feature_columns(feature: Feature) -> Sequence[str]:
+    if feature.columns is not None:
+        return feature.columns
+    right_keys = [r for _, r in key_pairs(feature.on)]
+    return [c for c in feature.df.columns if c not in right_keys]
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
