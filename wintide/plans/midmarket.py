@@ -152,12 +152,11 @@ def accounts_granular(
         .groupBy("crm_account_id")
         .agg(F.sum("net_arr_usd").alias("net_arr_usd"))
     )
+    # Joins on the same key follow each other: account, owner chain, then account and day.
     out = lookup(cohort, arr, "crm_account_id")
-    ages = t["customer_age"].select(
-        "crm_account_id", "the_date", "win_date", "win_year_mo", "win_year_quarter", "win_year"
+    out = membership_flag(
+        out, fraud_accounts(t), "crm_account_id", "fraud_flag", "Fraudulent", "Not Fraudulent"
     )
-    out = state_at(out, ages, "crm_account_id", F.col("mrr_date"), "the_date")
-
     at = as_of_instant("mrr_date", dimension_start)
     out = owner_chain(
         out,
@@ -187,12 +186,13 @@ def accounts_granular(
         [("employee_range__c", "employee_range")],
         ["employee_range_band"],
     )
-    out = state_at(out, product_usage(t), "crm_account_id", F.col("mrr_date"), "run_at")
-    states = product_states(t, history_start)
-    out = state_at(out, states, "crm_account_id", F.col("mrr_date"), "the_date")
-    out = membership_flag(
-        out, fraud_accounts(t), "crm_account_id", "fraud_flag", "Fraudulent", "Not Fraudulent"
+    ages = t["customer_age"].select(
+        "crm_account_id", "the_date", "win_date", "win_year_mo", "win_year_quarter", "win_year"
     )
+    out = lookup(out, ages, ["crm_account_id", ("mrr_date", "the_date")])
+    out = lookup(out, product_usage(t), ["crm_account_id", ("mrr_date", "run_at")])
+    states = product_states(t, history_start)
+    out = lookup(out, states, ["crm_account_id", ("mrr_date", "the_date")])
 
     def or_smb(col: str) -> Column:
         return F.coalesce(F.col(col), F.lit("SMB")).alias(col)

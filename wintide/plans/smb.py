@@ -28,7 +28,6 @@ from wintide.operators import (
     membership_flag,
     reporting_dates,
     semi_filter,
-    state_at,
     with_calendar,
 )
 from wintide.plans import rules
@@ -179,7 +178,7 @@ def accounts_today(
     """Account table of one snapshot day, compared with each account's state at win.
 
     Today's features read one day of revenue lines; at-win features keep only the accounts' own win
-    days.
+    days. Joins on the same key follow each other, so the account table is shuffled once per key.
     """
     base = t["revenue_by_account"].filter(
         (F.col("mrr_date") == F.lit(snapshot))
@@ -195,13 +194,14 @@ def accounts_today(
     seats_today = t["revenue_lines_snapshot"].filter(F.col("mrr_date") == F.lit(snapshot))
     products = paid_products(today)
 
+    key = F.col("crm_account_id")
     out = _described(base, t)
+    out = membership_flag(out, t["startups"], "crm_account_id", "startup_account", key)
     out = lookup(out, customer_types(products), ACCOUNT_DAY)
     seats = paid_seats(seat_charges(seats_today), t["product_dim"])
     out = lookup(out, seats, ACCOUNT_DAY, [F.col("paid_core_agents").alias("paid_agents_today")])
     terms = contract_terms(term_revenue(today), t["calendar"], yesterday, min_fiscal_year)
     out = lookup(out, terms, ACCOUNT_DAY)
-    out = membership_flag(out, t["startups"], "crm_account_id", "startup_account", F.col("crm_account_id"))
     current = out.select(
         "crm_account_id",
         "startup_account",
@@ -231,10 +231,13 @@ def accounts_today(
     won_seats = semi_filter(seat_charges(t["revenue_lines_snapshot"]), win_days, ACCOUNT_DAY)
 
     def then(df: DataFrame, facts: DataFrame, col: str, name: str) -> DataFrame:
-        return state_at(df, facts, "crm_account_id", at_win, "mrr_date", [F.col(col).alias(name)])
+        on = ["crm_account_id", ("__at_win", "mrr_date")]
+        return lookup(df, facts, on, [F.col(col).alias(name)])
 
-    out = then(current, customer_types(won_products), "customer_type", "customer_type_at_win")
-    out = lookup(out, support_plans(products), ACCOUNT_DAY, [F.col("support_plan").alias("__plan_now")])
+    plan_now = [F.col("support_plan").alias("__plan_now")]
+    out = lookup(current, support_plans(products), ACCOUNT_DAY, plan_now)
+    out = out.withColumn("__at_win", at_win)
+    out = then(out, customer_types(won_products), "customer_type", "customer_type_at_win")
     out = then(out, support_plans(won_products), "support_plan", "__plan_at_win")
     seats_at_win = paid_seats(won_seats, t["product_dim"])
     out = then(out, seats_at_win, "paid_core_agents", "paid_core_agents_at_win")
@@ -283,11 +286,11 @@ def accounts_at_win(
     )
     out = lookup(out, today, "crm_account_id")
     out = _described(out, t)
+    key = F.col("crm_account_id")
+    out = membership_flag(out, t["smb_startups"], "crm_account_id", "startup_account", key)
     out = lookup(out, customer_types(products), ACCOUNT_DAY)
     out = lookup(out, support_plans(products), ACCOUNT_DAY, ["support_plan"])
     out = lookup(out, contract_terms(revenue, t["calendar"], yesterday, min_fiscal_year), ACCOUNT_DAY)
-    key = F.col("crm_account_id")
-    out = membership_flag(out, t["smb_startups"], "crm_account_id", "startup_account", key)
     plan_at_win = F.coalesce("__stored_plan", "support_plan", F.lit(""))
     primary = band(
         "net_arr_usd", rules.PRIMARY_ARR_BANDS, rules.PRIMARY_ARR_TOP, "Unknown", rules.NO_REVENUE
