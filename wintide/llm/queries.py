@@ -9,7 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wintide.llm import bpe, secrets_index, url_rules, warc_zip, weighted_sampling
+from wintide.llm import (
+    bpe,
+    secrets_index,
+    suffix_levels,
+    suffix_trees,
+    url_rules,
+    warc_zip,
+    weighted_sampling,
+)
 from wintide.llm.shared import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +110,15 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM (
 def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consistent weighted samples of every document and of its edited text."""
     return weighted_sampling.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op3_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 400-byte repeats removed from every document."""
+    return suffix_levels.remove_repeats(table(spark, sf_dir, "documents"), kept=False)
+
+
+@registered
+def op8_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 20-word windows that started earlier removed from every document."""
+    return suffix_trees.remove_repeated_words(table(spark, sf_dir, "documents"), kept=False)

@@ -137,6 +137,10 @@ def edited_text(text: Column, following: Column) -> Column:
     return F.concat(F.substr(text, F.lit(1), n - cut), F.substr(following, F.lit(1), cut))
 
 
+def _tag_of(kind: str, mask: Column):
+    return lambda x: x.getField(kind).bitwiseAND(mask)
+
+
 def likeness(a: Column, b: Column) -> Column:
     same = F.aggregate(
         F.zip_with(a, b, lambda x, y: F.when(x.eqNullSafe(y), 1).otherwise(0)), F.lit(0), lambda s, x: s + x
@@ -175,7 +179,7 @@ def fingerprint_documents(
             "cell",
             "place",
             *[
-                F.transform("drawn", lambda x, kind=kind: x.getField(kind).bitwiseAND(mask)).alias(f"{kind}_sig")
+                F.transform("drawn", _tag_of(kind, mask)).alias(f"{kind}_sig")
                 for kind in ("own", "edited")
             ],
         )
