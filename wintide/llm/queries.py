@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from wintide.llm import (
     bpe,
+    decontaminate,
+    ordinal_quality,
     secrets_index,
+    simhash,
     suffix_levels,
     suffix_trees,
     url_rules,
@@ -122,3 +125,22 @@ def op3_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 20-word windows that started earlier removed from every document."""
     return suffix_trees.remove_repeated_words(table(spark, sf_dir, "documents"), kept=False)
+
+
+@registered
+def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return ordinal_quality.score_documents(docs, ordinal_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@registered
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in the documents."""
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 MOST_ALTERNATIVES = 64
 GAP = None
+REDACTED = "[secret]"
 
 
 class Rule(NamedTuple):
@@ -142,16 +143,13 @@ def match_spans(text: Column, rule: Rule, order: int) -> Column:
     )
 
 
-def find_secrets(
+def with_secrets(
     docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """All secrets of every whole text: a count for each kind and ``found``, spans in order.
-
-    ``found`` is an array of (start, order, end), sorted; ``order`` numbers the rules. One row for each
-    row; a null text is empty and has no secrets, a null or repeated key shares its postings with all rows
-    of that key, which only makes more candidates. Other columns do not matter.
-    """
-    source = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    """``row`` (all columns of the input), ``text`` (null made empty) and ``parts``, the spans of each rule."""
+    source = docs.select(
+        F.struct("*").alias("row"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")
+    )
     queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
     indexed = {kind: q for kind, q in queries.items() if q is not None}
     rows = source
@@ -164,10 +162,54 @@ def find_secrets(
     for order, rule in enumerate(rules):
         wanted = F.col(f"may_{rule.kind}") if rule.kind in indexed else F.rlike("text", F.lit(rule.pattern))
         found.append(F.when(wanted, match_spans(F.col("text"), rule, order)).otherwise(none))
+    return rows.select("row", "text", F.array(*found).alias("parts"))
+
+
+def find_secrets(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """All secrets of every whole text: a count for each kind and ``found``, spans in order.
+
+    ``found`` is an array of (start, order, end), sorted; ``order`` numbers the rules. One row for each
+    row; a null text is empty and has no secrets, a null or repeated key shares its postings with all rows
+    of that key, which only makes more candidates. Other columns do not matter.
+    """
+    rows = with_secrets(docs.select(key, text), rules, key, text)
     counts = [F.size(F.col("parts")[n]).cast("bigint").alias(f"n_{rule.kind}") for n, rule in enumerate(rules)]
-    return rows.select("key", F.array(*found).alias("parts")).select(
-        F.col("key").alias(key), *counts, F.array_sort(F.flatten("parts")).alias("found")
+    return rows.select(F.col("row")[key].alias(key), *counts, F.array_sort(F.flatten("parts")).alias("found"))
+
+
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """All rows and columns, with every secret in ``text`` replaced by ``REDACTED``; overlapping ones once.
+
+    A column ``n_chars``, if there is one, counts the new text's code points. A null text stays null.
+    """
+    rows = with_secrets(docs, rules, key, text).select("row", "text", F.array_sort(F.flatten("parts")).alias("found"))
+
+    def step(state: Column, span: Column) -> Column:
+        at, start, end = state.getField("at"), span.getField("start"), span.getField("end")
+        added = F.concat(state.getField("out"), F.substr("text", at + 1, start - at), F.lit(REDACTED))
+        return F.when(
+            start >= at, F.struct(end.alias("at"), added.alias("out"))
+        ).otherwise(F.struct(F.greatest(at, end).alias("at"), state.getField("out").alias("out")))
+
+    cut = F.aggregate(
+        "found",
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        step,
+        lambda state: F.concat(state.getField("out"), F.substr("text", state.getField("at") + 1)),
     )
+    clean = F.when(F.size("found") > 0, cut).otherwise(F.col("row")[text])
+    ready = rows.select("row", clean.alias("clean"))
+    columns = []
+    for field in docs.schema.fields:
+        value = F.col("row")[field.name]
+        if field.name == text:
+            value = F.col("clean")
+        elif field.name == "n_chars":
+            value = F.char_length("clean").cast(field.dataType)
+        columns.append(value.alias(field.name))
+    return ready.select(*columns)
 
 
 def spans_text(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:
