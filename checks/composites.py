@@ -432,7 +432,7 @@ def group_priority(t: Tables) -> DataFrame:
 
 PRODUCT_LINES = """bought AS (
   SELECT o_custkey, p_type, p_brand FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN part ON l_partkey = p_partkey WHERE l_quantity > 35)"""
+  JOIN part ON l_partkey = p_partkey)"""
 
 
 @query(f"""
@@ -446,7 +446,7 @@ SELECT o_custkey, type_list,
 FROM sets
 """)
 def product_mix(t: Tables) -> DataFrame:
-    lines = t.lineitem.filter("l_quantity > 35").select("l_orderkey", "l_partkey")
+    lines = t.lineitem.select("l_orderkey", "l_partkey")
     bought = lookup(lines, t.orders, [("l_orderkey", "o_orderkey")], ["o_custkey"], "inner")
     bought = lookup(bought, t.part, [("l_partkey", "p_partkey")], ["p_type"], "inner")
     rules = [
@@ -481,14 +481,14 @@ def typed_counts_and_sums(t: Tables) -> DataFrame:
 @query("""
 WITH b AS (SELECT l_suppkey, max(CASE WHEN p_size = 50 THEN 'Y' ELSE 'N' END) AS licence,
     max(CAST(l_quantity AS BIGINT)) AS seats
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity < 40 GROUP BY 1)
-SELECT l_suppkey, CASE WHEN licence = 'Y' THEN greatest(seats, 38) ELSE seats END AS seats FROM b
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)
+SELECT l_suppkey, CASE WHEN licence = 'Y' THEN greatest(seats, 60) ELSE seats END AS seats FROM b
 """)
 def licence_seat_floor(t: Tables) -> DataFrame:
-    lines = t.lineitem.filter("l_quantity < 40").select("l_suppkey", "l_partkey", "l_quantity")
+    lines = t.lineitem.select("l_suppkey", "l_partkey", "l_quantity")
     sized = lookup(lines, t.part, [("l_partkey", "p_partkey")], ["p_size"], "inner")
     licensed = F.max(F.col("p_size") == 50)
-    seats = license_floor(F.max(F.col("l_quantity").cast("bigint")), licensed, 38)
+    seats = license_floor(F.max(F.col("l_quantity").cast("bigint")), licensed, 60)
     return sized.groupBy("l_suppkey").agg(seats.alias("seats"))
 
 

@@ -54,7 +54,7 @@ def test_stage_cuts_the_lineage(spark, frame):
     assert "FileScan" in plan and "Aggregate" not in plan
 
 
-def test_stage_without_shared_folder_changes_nothing(frame, monkeypatch):
+def test_stage_without_shared_folder_raises(frame, monkeypatch):
     monkeypatch.setattr("wintide.sources.tables.staging_folder", lambda spark: None)
-    df = frame("id int", [(1,)])
-    assert stage(df, "x") is df
+    with pytest.raises(ValueError, match="shared folder"):
+        stage(frame("id int", [(1,)]), "x")

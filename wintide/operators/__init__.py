@@ -19,6 +19,7 @@ from wintide.operators.membership import (
     flagged_accounts,
     is_member,
     membership_flag,
+    on_days,
     semi_filter,
 )
 from wintide.operators.ranking import dominant_value, edge_events, latest_per_key, quota_cut
@@ -79,6 +80,7 @@ __all__ = [
     "quota_cut",
     "reporting_dates",
     "scd2_as_of",
+    "on_days",
     "semi_filter",
     "set_label",
     "snapshot_join",

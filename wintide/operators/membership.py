@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,18 @@ def is_member(
     return joined.withColumn(name, value).drop("__hit")
 
 
+def on_days(
+    lines: DataFrame, days: DataFrame, keys: Sequence[str] = ("crm_account_id", "mrr_date"), day: str = "mrr_date"
+) -> DataFrame:
+    """Lines of the (key, day) pairs in ``days``, cut before anything is aggregated.
+
+    The distinct days alone come first: they are few whatever the tables' size, and prune partitions by
+    day. The pairs then follow as a semi join, whose left side may be split where a key or a day is hot.
+    """
+    on_any = semi_filter(lines, days, [day])
+    return semi_filter(on_any, days, list(keys))
+
+
 def membership_flag(
     df: DataFrame,
     keys_df: DataFrame,

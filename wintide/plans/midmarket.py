@@ -34,6 +34,7 @@ from wintide.operators import (
     owner_chain,
     product_rollup,
     scd2_as_of,
+    on_days,
     semi_filter,
     state_at,
     tenure_windows,
@@ -61,7 +62,7 @@ def fraud_accounts(t: Tables) -> DataFrame:
         F.col("accounttype__c").alias("account_type"),
     )
     return flagged_accounts(
-        t["instances_raw"].select(key), customers, billing, ["Batch13"], ["Fraudulent"]
+        t["instances_raw"].select(key), customers, billing, rules.FRAUD_BATCHES, rules.FRAUD_ACCOUNT_TYPES
     )
 
 
@@ -99,9 +100,7 @@ def charge_totals(lines: DataFrame) -> DataFrame:
 def product_states(t: Tables, history_start: date = rules.REVENUE_START) -> DataFrame:
     """Products, seats and plan level of every account at win and when last active.
 
-    Only the revenue lines of those two days per account are rolled up. Lines are summed per charge
-    before they are cut down to those days, so a day that holds most lines of the table reaches the
-    join as one row per charge.
+    Only the revenue lines of those two days per account are read, summed per charge and rolled up.
     """
     ages = latest_snapshot(t["customer_age"], "the_date").select(
         "crm_account_id", "the_date", "win_date", "churn_date"
@@ -110,8 +109,7 @@ def product_states(t: Tables, history_start: date = rules.REVENUE_START) -> Data
     last_day = F.coalesce(F.date_sub("churn_date", 1), F.lit(rules.OPEN_END))
     last_active = strict_least("the_date", last_day)
     days = ages.select("crm_account_id", F.explode(F.array(at_win, last_active)).alias("mrr_date"))
-    charges = charge_totals(t["revenue_lines"])
-    lines = semi_filter(charges, days, ["crm_account_id", "mrr_date"])
+    lines = charge_totals(on_days(t["revenue_lines"], days))
     products = product_rollup(lines, current_rows(t["product_dim"]), t["product_plan_matrix"])
     fields = [
         "avg_support_plan",

@@ -15,6 +15,8 @@ REVENUE_START = date(2014, 1, 1)
 DIMENSION_START = date(2017, 5, 3)
 OPEN_END = date(9999, 12, 31)
 
+FRAUD_BATCHES = ["Batch13"]
+FRAUD_ACCOUNT_TYPES = ["Fraudulent"]
 EXCLUDED_BILLING_TYPES = ["Sponsored", "Test", "Employee", "Fraudulent"]
 
 CLOSED_STAGE = "07 - Closed"

@@ -27,6 +27,7 @@ from wintide.operators import (
     lookup,
     membership_flag,
     reporting_dates,
+    on_days,
     semi_filter,
     with_calendar,
 )
@@ -177,8 +178,8 @@ def accounts_today(
 ) -> DataFrame:
     """Account table of one snapshot day, compared with each account's state at win.
 
-    Today's features read one day of revenue lines; at-win features keep only the accounts' own win
-    days. Joins on the same key follow each other, so the account table is shuffled once per key.
+    Today's features read one day of revenue lines; at-win features read the accounts' own win days,
+    cut out before they are aggregated. Joins on the same key follow each other, so the account table is shuffled once per key.
     """
     base = t["revenue_by_account"].filter(
         (F.col("mrr_date") == F.lit(snapshot))
@@ -226,9 +227,10 @@ def accounts_today(
     ).distinct()
 
     at_win = strict_greatest("account_win_date", F.lit(history_start))
-    win_days = base.select("crm_account_id", at_win.alias("mrr_date"))
-    won_products = semi_filter(paid_products(t["revenue_lines"]), win_days, ACCOUNT_DAY)
-    won_seats = semi_filter(seat_charges(t["revenue_lines_snapshot"]), win_days, ACCOUNT_DAY)
+    win_day = strict_greatest("win_date", F.lit(history_start))
+    win_days = t["win_dates"].select("crm_account_id", win_day.alias("mrr_date"))
+    won_products = paid_products(on_days(t["revenue_lines"], win_days))
+    won_seats = seat_charges(on_days(t["revenue_lines_snapshot"], win_days))
 
     def then(df: DataFrame, facts: DataFrame, col: str, name: str) -> DataFrame:
         on = ["crm_account_id", ("__at_win", "mrr_date")]
@@ -275,8 +277,8 @@ def accounts_at_win(
         F.col("year_quarter").alias("win_yyyyqq"),
     ]
     out = with_calendar(out, t["calendar"], "mrr_date", calendar)
-    products = semi_filter(paid_products(t["revenue_lines"]), won, ACCOUNT_DAY)
-    revenue = semi_filter(term_revenue(t["revenue_lines"]), won, ACCOUNT_DAY)
+    lines = on_days(t["revenue_lines"], won.select(*ACCOUNT_DAY))
+    products, revenue = paid_products(lines), term_revenue(lines)
     today = t["smb_accounts"].select(
         "crm_account_id",
         F.col("customer_type").alias("__type_now"),

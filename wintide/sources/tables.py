@@ -109,12 +109,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate to the shared checkpoint folder and read it back.
 
     Cuts the lineage at a table every executor can reach, so lost executors cost a re-read and not
-    a recomputation. Without a checkpoint folder the frame comes back unchanged.
+    a recomputation. Without a checkpoint folder there is nowhere to write, and it raises.
     """
     spark = df.sparkSession
     folder = staging_folder(spark)
     if not folder:
-        return df
+        raise ValueError("staging needs a shared folder: set spark.checkpoint.dir")
     path = os.path.join(folder, "staged", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
