@@ -12,6 +12,7 @@ an item whose samples survive with chance p each is found with 1 - (1 - p**SAMPL
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -26,6 +27,8 @@ MOST_EDITS = 0.2  # of the item's characters
 LEAST_WORDS = 5
 SAMPLES = 3
 REPETITIONS = 24
+STRETCHES = 6
+MOST_PAIRS = 200_000
 FURTHEST_STEP = 16
 BLOCK_BYTES = 16 << 20
 WORDS = bytes(
@@ -57,20 +60,21 @@ def _move(units: np.ndarray, walk: np.ndarray, step: int) -> np.ndarray:
 
 def build_index(items: list[tuple[object, str]], repetitions: int = REPETITIONS, samples: int = SAMPLES) -> Index:
     kept, texts, rows = [], [], []
-    for name, text in items:
-        words = (text or "").encode().translate(WORDS).split()
+    listed = [(name, (text or "").encode().translate(WORDS).split()) for name, text in items]
+    often = Counter(word for _, words in listed for word in set(words))
+    for name, words in listed:
         if len(words) < LEAST_WORDS:
             continue
         hashes = rolling.words_of([b" ".join(words)])[0]
         n = len(kept)
         kept.append(name)
         texts.append(b" ".join(words))
-        # words spread over the item, in each stretch the longest (long words are rare ones)
-        stretches = np.array_split(np.arange(len(words)), min(repetitions, len(words)))
+        # words spread over the item, in each stretch the one in fewest items, then the longest:
+        # the rarer the first word, the fewer windows have to walk
+        stretches = np.array_split(np.arange(len(words)), min(STRETCHES, len(words)))
         for walk in range(repetitions):
             stretch = stretches[walk % len(stretches)]
-            ranked = sorted(stretch.tolist(), key=lambda k: (-len(words[k]), k))
-            at = ranked[(walk // len(stretches)) % len(ranked)]
+            at = min(stretch.tolist(), key=lambda k: (often[words[k]], -len(words[k]), k))
             way = 1 if at < len(words) / 2 else -1
             pointer, written = at, []
             for step in range(1, FURTHEST_STEP + 1):
@@ -105,6 +109,19 @@ def candidates(index: Index, hashes: np.ndarray, first: np.ndarray) -> tuple[np.
     low = np.searchsorted(index.first, hashes[at])
     count = np.searchsorted(index.first, hashes[at], "right") - low
     at, low, count = at[count > 0], low[count > 0], count[count > 0]
+    # a bounded number of walks at a time
+    cuts = np.flatnonzero(np.diff(np.cumsum(count) // MOST_PAIRS)) + 1
+    found = [
+        _walk(index, hashes, first, *part)
+        for part in zip(np.split(at, cuts), np.split(low, cuts), np.split(count, cuts))
+    ]
+    rows = np.unique(np.concatenate(found), axis=0)
+    return rows[:, 0], rows[:, 1], rows[:, 2]
+
+
+def _walk(
+    index: Index, hashes: np.ndarray, first: np.ndarray, at: np.ndarray, low: np.ndarray, count: np.ndarray
+) -> np.ndarray:
     place = np.repeat(at, count)
     entry = np.repeat(low - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
     text = np.searchsorted(first, place, "right") - 1
@@ -124,8 +141,7 @@ def candidates(index: Index, hashes: np.ndarray, first: np.ndarray) -> tuple[np.
         right = (~sampled | (index.seen[entry] == units[:, None])).all(axis=1)
         if not right.all():
             place, entry, text, pointer, start, end = (x[right] for x in (place, entry, text, pointer, start, end))
-    found = np.unique(np.stack([text, index.item[entry], place - index.offset[entry]], axis=1), axis=0)
-    return found[:, 0], found[:, 1], found[:, 2]
+    return np.stack([text, index.item[entry], place - index.offset[entry]], axis=1)
 
 
 def edit_distance_within(item: bytes, window: bytes) -> int:
@@ -240,8 +256,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text") ->
 
         def choose(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for lo in range(0, batch.num_rows, 500):
-                    part = batch.slice(lo, 500)
+                for lo in range(0, batch.num_rows, 200):
+                    part = batch.slice(lo, 200)
                     clean = np.ones(part.num_rows, bool)
                     texts = [(t or "").encode() for t in part.column(at).to_pylist()]
                     clean[[f[0] for f in hits(shared.value, texts)]] = False

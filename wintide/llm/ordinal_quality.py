@@ -178,8 +178,8 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, 200):
+                part = batch.slice(lo, 200)
                 texts = [(t or "").encode() for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array(tails(shared.value, texts)[1][:, 1] >= KEEP_AT))
 
