@@ -27,7 +27,7 @@ MOST_EDITS = 0.2  # of the item's characters
 LEAST_WORDS = 5
 SAMPLES = 3
 REPETITIONS = 24
-STRETCHES = 6
+STRETCHES = 8
 MOST_PAIRS = 200_000
 FURTHEST_STEP = 16
 BLOCK_BYTES = 16 << 20
