@@ -298,7 +298,9 @@ def read_packages(packages: DataFrame, path: str = "path", payloads: bool = True
     ``payload`` is the stored payload (empty for revisits), left out if ``payloads`` is false. Packages
     without an index are walked record by record to place them. No packages give no rows.
     """
-    runs = record_runs(packages, path).repartition("path", "start")
+    # a set number of tasks: the rows are small, and their bytes do not tell how much each one reads
+    width = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = record_runs(packages, path).repartition(width, "path", "start")
     schema = pa.schema([f for f in RECORD if payloads or f.name != "payload"])
     kinds = {pa.string(): "string", pa.int64(): "bigint", pa.binary(): "binary"}
 
