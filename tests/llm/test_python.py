@@ -50,7 +50,7 @@ def test_near_duplicates(documents, corpus):
     assert len(set(least.values())) < len(corpus) - 5
 
 
-@pytest.mark.parametrize("compared", [64, 2])
+@pytest.mark.parametrize("compared", [simhash.COMPARED, 64, 2])
 def test_links(spark, compared):
     rng = random.Random(3)
     prints = set()
@@ -77,6 +77,30 @@ def test_links(spark, compared):
     assert len({(find(p), want[p]) for p in prints}) == len({find(p) for p in prints}) == len(set(want.values()))
 
 
+def test_forest():
+    rng = random.Random(5)
+    for _ in range(50):
+        n = rng.randint(2, 60)
+        links = [tuple(rng.sample(range(n), 2)) for _ in range(rng.randint(1, 150))]
+        a, b = (np.array(e) for e in zip(*links))
+
+        def groups(chosen, n=n):
+            root = list(range(n))
+
+            def find(p):
+                while root[p] != p:
+                    p = root[p]
+                return p
+
+            for x, y in chosen:
+                root[find(x)] = find(y)
+            return {frozenset(p for p in range(n) if find(p) == r) for r in map(find, range(n))}
+
+        tree = simhash._forest(a, b, n).tolist()
+        assert groups([links[k] for k in tree]) == groups(links)
+        assert len(tree) == n - len(groups(links))
+
+
 def test_components(spark):
     path = [(n, n + 1) for n in range(60)] + [(100, n) for n in range(200, 260)] + [(7, 7)]
     found = dict(map(tuple, components.connected(spark.createDataFrame(path, "a bigint, b bigint")).collect()))

@@ -2,10 +2,11 @@
 
 Two fingerprints within 4 bits differ in at most 2 bits of one of their halves, and then both reach a
 common value of that half by changing at most one bit. So every fingerprint emits, for each half, all
-values within half of that half's radius, and whoever shares a value is compared. A bucket too large
-to compare in full is hashed once more in the same way, now over all 64 bits: its members emit the whole
-variants within 2 bits that have the bucket's half. Members of such a ball are within 4 bits of each
-other, so each is linked to the first one only, and no group of copies is ever paired out.
+values within half of that half's radius, and whoever shares a value is compared. Of the links within a
+bucket only a spanning forest leaves the task: fewer rows than members. A bucket too large to compare in
+full is hashed once more in the same way, now over all 64 bits: its members emit the whole variants
+within 2 bits that have the bucket's half. Members of such a ball are within 4 bits of each other, so each
+is linked to the first one only, and no group of copies is ever paired out.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from wintide.llm.shared import staged
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
-COMPARED = 64
+COMPARED = 1024  # half as many comparisons of a member in memory cost less than its up to 529 variants shuffled
 PIECE = 1 << 16
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -107,14 +108,18 @@ def links(prints: DataFrame, radius: int = RADIUS, compared: int = COMPARED) ->
         if large.any():
             yield from balls(buckets[large], prints_[large])
         small_runs, small = run[~large], prints_[~large]
+        ends: list[tuple[np.ndarray, np.ndarray]] = []
         for step in range(1, compared):
-            same = small_runs[step:] == small_runs[:-step]
-            if not same.any():
+            same = np.flatnonzero(small_runs[step:] == small_runs[:-step])
+            if not len(same):
                 break
-            a, b = small[:-step][same], small[step:][same]
-            close = np.bitwise_count(a ^ b) <= radius
-            if close.any():
-                yield _link_rows(a[close], b[close], None)
+            same = same[np.bitwise_count(small[same] ^ small[same + step]) <= radius].astype(np.int32)
+            ends.append((same, same + np.int32(step)))
+        if ends:
+            a, b = (np.concatenate(e) for e in zip(*ends))
+            tree = _forest(a, b, len(small))
+            if len(tree):
+                yield _link_rows(small[a[tree]], small[b[tree]], None)
 
     def balls(buckets: np.ndarray, prints_: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Whole variants that share the bucket's half and lie within half the radius."""
@@ -187,6 +192,37 @@ def links(prints: DataFrame, radius: int = RADIUS, compared: int = COMPARED) ->
     return found.where("b is not null").select("a", "b").unionByName(from_balls).distinct()
 
 
+def _forest(a: np.ndarray, b: np.ndarray, nodes: int) -> np.ndarray:
+    """Positions of links that span what all links ``a``-``b`` connect, without a cycle.
+
+    Every tree picks its first link to another tree and joins it, until no link leads out of a tree.
+    """
+    tree = np.arange(nodes)
+    open_, picked = np.arange(len(a)), []
+    while True:
+        x, y = tree[a[open_]], tree[b[open_]]
+        out = x != y
+        open_, x, y = open_[out], x[out], y[out]
+        if not len(open_):
+            return np.concatenate(picked) if picked else open_
+        least = np.full(nodes, len(a))
+        np.minimum.at(least, x, open_)
+        np.minimum.at(least, y, open_)
+        joining = np.unique(least[least < len(a)])
+        picked.append(joining)
+        x, y = tree[a[joining]], tree[b[joining]]
+        root = np.arange(nodes)
+        while True:
+            low = np.minimum(root[x], root[y])
+            before = root.copy()
+            np.minimum.at(root, x, low)
+            np.minimum.at(root, y, low)
+            root = root[root]
+            if (root == before).all():
+                break
+        tree = root[tree]
+
+
 def _link_rows(a: np.ndarray, b: np.ndarray | None, centre: np.ndarray | None) -> pa.RecordBatch:
     column = lambda x: pa.nulls(len(a), pa.int64()) if x is None else pa.array(x.view(np.int64))
     return pa.RecordBatch.from_arrays([column(a), column(b), column(centre)], ["a", "b", "centre"])
