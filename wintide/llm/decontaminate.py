@@ -255,13 +255,10 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text") ->
         shared = context.broadcast(index)
 
         def choose(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo in range(0, batch.num_rows, 200):
-                    part = batch.slice(lo, 200)
-                    clean = np.ones(part.num_rows, bool)
-                    texts = [(t or "").encode() for t in part.column(at).to_pylist()]
-                    clean[[f[0] for f in hits(shared.value, texts)]] = False
-                    yield part.filter(pa.array(clean))
+            for part, texts in rolling.in_chunks(batches, at):
+                clean = np.ones(part.num_rows, bool)
+                clean[[f[0] for f in hits(shared.value, [(t or "").encode() for t in texts])]] = False
+                yield part.filter(pa.array(clean))
 
         out = out.mapInArrow(choose, docs.schema)
     return out
