@@ -113,6 +113,12 @@ def test_quota_cut_ties_at_the_cut_all_pass(frame):
     assert quota_cut(df, "region", "r", {"x": 3}, ["id"]).count() == 6
 
 
+@pytest.mark.parametrize("quota, kept", [(1, 6), (6, 6), (7, 0), (2**62, 0)])
+def test_quota_cut_with_equal_ranks(frame, quota, kept):
+    df = frame("id int, region string, r int", [(i, "x", 5) for i in range(6)])
+    assert quota_cut(df, "region", "r", {"x": quota}, ["id"]).count() == kept
+
+
 def test_quota_cut_counts_null_ranks_first(frame):
     df = frame("id int, region string, r int", [(1, "x", None), (2, "x", 5), (3, "x", 6)])
     assert rows_of(quota_cut(df, "region", "r", {"x": 2}, ["id"]), "id") == [(2,)]

@@ -92,7 +92,7 @@ def quota_cut(
     quotas: Mapping[str, int],
     identity: Sequence[str],
     short: str = "none",
-    splits: int = 64,
+    splits: int = 256,
 ) -> DataFrame:
     """Rows of each region whose rank value is at most the value at the region's quota position.
 
@@ -100,10 +100,10 @@ def quota_cut(
     with fewer rows than its quota gives nothing (``short="none"``) or all its rows ("all");
     regions without a quota give nothing.
 
-    A region is never ranked in one task: equal ranks are counted first, each of ``splits`` hash
-    slices of a region then keeps only its lowest ``quota`` rank values, and the final pass sees at
-    most ``splits * quota`` values per region whatever the table size. The N-th value of the region
-    is always among them, so the cut is exact.
+    A region is never ranked in one task: equal ranks are counted first, approximate percentiles of
+    the rank split each region into ``splits`` ranges, and the small table of their counts tells which
+    range holds the position. Only that range is ranked, so the cost does not depend on the quota.
+    How the ranges fall changes the work, never the cut. Ranks are numbers, dates or timestamps.
     """
     if short not in ("none", "all"):
         raise ValueError(f"unknown short {short!r}")
@@ -119,22 +119,33 @@ def quota_cut(
         .distinct()
         .groupBy(region, rank)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__slice", F.pmod(F.xxhash64(rank), F.lit(splits)))
     )
-    by_slice = Window.partitionBy(region, "__slice").orderBy(F.asc_nulls_first(rank))
-    lowest = (
-        counted.withColumn("__rn", F.row_number().over(by_slice))
-        .filter(F.col("__rn") <= max(quotas.values()))
-        .filter(F.col("__rn") <= quota)
+    shares = F.array(*[F.lit(k / splits) for k in range(1, splits + 1)])
+    edges = counted.groupBy(region).agg(F.percentile_approx(rank, shares).alias("__edges"))
+    # The broadcast sides here have at most one row per quota given in the call.
+    ranged = counted.join(F.broadcast(edges), region).select(
+        region,
+        rank,
+        "__n",
+        F.coalesce(F.size(F.filter("__edges", lambda e: e < F.col(rank))), F.lit(0)).alias("__range"),
+    )
+    totals = ranged.groupBy(region, "__range").agg(F.sum("__n").alias("__in_range"))
+    in_order = Window.partitionBy(region).orderBy("__range")
+    holding = (
+        totals.withColumn("__upto", F.sum("__in_range").over(in_order))
+        .withColumn("__before", F.col("__upto") - F.col("__in_range"))
+        .filter((F.col("__before") < quota) & (F.col("__upto") >= quota))
+        .select(region, "__range", "__before")
     )
     running = Window.partitionBy(region).orderBy(F.asc_nulls_first(rank))
-    reached = lowest.withColumn("__upto", F.sum("__n").over(running)).filter(
-        F.col("__upto") >= quota
+    reached = (
+        ranged.join(F.broadcast(holding), [region, "__range"])
+        .withColumn("__upto", F.col("__before") + F.sum("__n").over(running))
+        .filter(F.col("__upto") >= quota)
     )
     cuts = reached.groupBy(region).agg(
         F.min_by(rank, "__upto").alias("__cut"), F.count(F.lit(1)).alias("__reached")
     )
-    # One row per quota given in the call: the one side here whose size is known beforehand.
     how = "left" if short == "all" else "inner"
     passed = in_scope.join(F.broadcast(cuts), region, how)
     keep = F.col(rank) <= F.col("__cut")
