@@ -344,11 +344,11 @@ def dominant_priority(t: Tables) -> DataFrame:
 
 
 # Position at which each region is cut; the last one is larger than any region here.
-QUOTAS = {"AMERICA": 100, "EUROPE": 50, "ASIA": 10, "AFRICA": 100_000_000}
+QUOTAS = {"AMERICA": 100, "EUROPE": 50, "ASIA": 10, "AFRICA": 4_000_000_000_000_000_000}
 RANKED = """ranked AS (
   SELECT c_custkey, r_name, CAST(floor(c_acctbal / 10) AS BIGINT) AS rank_value
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-quotas AS (SELECT * FROM (VALUES ('AMERICA', 100), ('EUROPE', 50), ('ASIA', 10), ('AFRICA', 100000000)) q(r_name, n)),
+quotas AS (SELECT * FROM (VALUES ('AMERICA', 100), ('EUROPE', 50), ('ASIA', 10), ('AFRICA', 4000000000000000000)) q(r_name, n)),
 positions AS (
   SELECT r_name, rank_value, row_number() OVER (PARTITION BY r_name ORDER BY rank_value) AS pos FROM ranked),
 cuts AS (SELECT r_name, rank_value AS cut FROM positions JOIN quotas USING (r_name) WHERE pos = n)"""
