@@ -1,18 +1,18 @@
-"""Benchmark decontamination: CGK walks, bit-sampling LSH and exact edit distances.
-
-A CGK walk reads a sequence with a pointer that moves on or stays, as random bits of (step, unit) say, and
-writes the unit it sees at each step. Sequences that differ by few edits soon walk in step again, so few of
-the written units differ: edit distance becomes Hamming distance, and a few sampled steps make an LSH key.
-Units are words. A repetition walks from one word of the item, the first sample, to the longer side of it,
-and takes ``SAMPLES - 1`` further steps; windows of documents walk alike. Windows that agree in all samples
-are held to the item by exact edit distance on characters. With ``REPETITIONS`` walks from different words,
-an item whose samples survive with chance p each is found with 1 - (1 - p**SAMPLES)**REPETITIONS.
+"""Benchmark decontamination: intact byte runs as seeds, a bounded edit distance around them, exact edit distances.
+
+An item with up to a fifth of its bytes edited still has intact runs of bytes. Every run of ``RUNS`` bytes of
+an item is a seed, from every position of the item, and whatever document byte starts an equal run is a
+candidate. The run's length is set by the item's size, so that with edits scattered over a fifth of the bytes
+the expected number of separate intact runs, ``(size - run) * 0.2 * 0.8 ** run``, is at least 2.3 and an item
+is missed with a chance of at most 0.1. Items below the last of these sizes have seeds so short that by the
+pigeonhole principle one is intact. Up to 64 bytes of the item around a seed are held to the document by edit
+distance, a column at a time for all candidates; those left by exact edit distance of the whole item.
+Units are bytes, so no script needs word separators.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -24,124 +24,159 @@ from pyspark.sql import functions as F
 from wintide.llm import rolling
 
 MOST_EDITS = 0.2  # of the item's characters
-LEAST_WORDS = 5
-SAMPLES = 3
-REPETITIONS = 24
-STRETCHES = 8
-MOST_PAIRS = 200_000
-FURTHEST_STEP = 16
+RUNS = ((200, 10), (140, 9), (80, 8), (50, 6))  # from so many bytes on, runs of so many
+MOST_PAIRS = 50_000
+AROUND = 64
+CLOSE = 32  # a first look, which most candidates do not pass
+MOST_AROUND = 0.4  # of the bytes around a seed; 0.17 are expected at a fifth of all, with a deviation of 0.05
 BLOCK_BYTES = 16 << 20
+FILTER_BITS = 20
 WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256)
 )
 
 
-class Index(NamedTuple):
-    """Walks of a block of items, sorted by their first word; ``steps`` and ``seen`` are the further samples."""
+class Seeds(NamedTuple):
+    """Runs of one length, sorted by hash."""
 
-    items: list
-    texts: list[bytes]
-    sizes: np.ndarray
-    first: np.ndarray
+    run: int
+    hashes: np.ndarray
     item: np.ndarray
     offset: np.ndarray
-    way: np.ndarray
-    walk: np.ndarray
-    steps: np.ndarray
-    seen: np.ndarray
     filter: np.ndarray
 
 
-def _move(units: np.ndarray, walk: np.ndarray, step: int) -> np.ndarray:
-    """Whether each walk moves on from a unit at a step."""
-    odd = (walk.astype(np.uint64) * np.uint64(2 * FURTHEST_STEP + 2) + np.uint64(step)) * np.uint64(2) + np.uint64(1)
-    return ((units ^ (odd * np.uint64(rolling.BASE))) * (odd * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(63)).astype(np.int64)
-
-
-def build_index(items: list[tuple[object, str]], repetitions: int = REPETITIONS, samples: int = SAMPLES) -> Index:
-    kept, texts, rows = [], [], []
-    listed = [(name, (text or "").encode().translate(WORDS).split()) for name, text in items]
-    often = Counter(word for _, words in listed for word in set(words))
-    for name, words in listed:
-        if len(words) < LEAST_WORDS:
-            continue
-        hashes = rolling.words_of([b" ".join(words)])[0]
-        n = len(kept)
-        kept.append(name)
-        texts.append(b" ".join(words))
-        # words spread over the item, in each stretch the one in fewest items, then the longest:
-        # the rarer the first word, the fewer windows have to walk
-        stretches = np.array_split(np.arange(len(words)), min(STRETCHES, len(words)))
-        for walk in range(repetitions):
-            stretch = stretches[walk % len(stretches)]
-            at = min(stretch.tolist(), key=lambda k: (often[words[k]], -len(words[k]), k))
-            way = 1 if at < len(words) / 2 else -1
-            pointer, written = at, []
-            for step in range(1, FURTHEST_STEP + 1):
-                pointer += way * int(_move(hashes[[pointer]], np.array([walk]), step)[0])
-                if not 0 <= pointer < len(words):
-                    break
-                written.append(hashes[pointer])
-            usable = len(written)
-            chosen = np.random.default_rng(walk).random(samples - 1)
-            steps = sorted(1 + int(c * usable) for c in chosen) if usable else [1] * (samples - 1)
-            seen = [written[s - 1] if s <= usable else hashes[at] for s in steps]
-            rows.append((hashes[at], n, at, way, walk, steps, seen))
-    rows.sort(key=lambda r: (int(r[0]), r[1], r[4]))
-    first = np.array([r[0] for r in rows], np.uint64)
-    filter_ = np.zeros(1 << 16, bool)
-    filter_[(first & np.uint64(0xFFFF)).astype(np.int64)] = True
-    return Index(
-        kept,
-        texts,
-        np.array([t.count(b" ") + 1 for t in texts], np.int64),
-        first,
-        *[np.array([r[c] for r in rows], np.int64) for c in (1, 2, 3, 4)],
-        np.array([r[5] for r in rows], np.int64).reshape(len(rows), samples - 1),
-        np.array([r[6] for r in rows], np.uint64).reshape(len(rows), samples - 1),
-        filter_,
-    )
-
+class Index(NamedTuple):
+    """A block of items; ``data`` has their bytes, ``first`` each one's first and the end."""
 
-def candidates(index: Index, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, item, word at which the item would begin) of all windows whose samples agree; each once."""
-    at = np.flatnonzero(index.filter[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
-    low = np.searchsorted(index.first, hashes[at])
-    count = np.searchsorted(index.first, hashes[at], "right") - low
-    at, low, count = at[count > 0], low[count > 0], count[count > 0]
-    # a bounded number of walks at a time
-    cuts = np.flatnonzero(np.diff(np.cumsum(count) // MOST_PAIRS)) + 1
-    found = [
-        _walk(index, hashes, first, *part)
-        for part in zip(np.split(at, cuts), np.split(low, cuts), np.split(count, cuts))
-    ]
-    rows = np.unique(np.concatenate(found), axis=0)
-    return rows[:, 0], rows[:, 1], rows[:, 2]
-
-
-def _walk(
-    index: Index, hashes: np.ndarray, first: np.ndarray, at: np.ndarray, low: np.ndarray, count: np.ndarray
+    items: list
+    texts: list[bytes]
+    sizes: np.ndarray
+    data: np.ndarray
+    first: np.ndarray
+    seeds: list[Seeds]
+
+
+def plain(text: bytes) -> bytes:
+    return b" ".join(text.translate(WORDS).split())
+
+
+def run_of(size: int, most_edits: float = MOST_EDITS) -> int:
+    """Length of the seeds of an item."""
+    for least, run in RUNS:
+        if size >= least and most_edits <= MOST_EDITS:
+            return run
+    return max(1, size // (int(size * most_edits) + 1))
+
+
+def _run_hashes(sums: np.ndarray, run: int) -> np.ndarray:
+    return rolling.mix(rolling.part_hash(sums, np.arange(max(0, len(sums) - run)), run))
+
+
+def build_index(items: list[tuple[object, str]], most_edits: float = MOST_EDITS) -> Index:
+    listed = [(name, plain((text or "").encode())) for name, text in items]
+    listed = [(name, text) for name, text in listed if text]
+    texts = [text for _, text in listed]
+    units, first = rolling.byte_units(texts)
+    runs = np.array([run_of(len(t), most_edits) for t in texts], np.int64)
+    sums, seeds = rolling.prefix_sums(units), []
+    for run in np.unique(runs).tolist():
+        at = np.concatenate([np.arange(first[n], first[n + 1] - run + 1) for n in np.flatnonzero(runs == run)])
+        hashes = _run_hashes(sums, run)[at]
+        order = np.argsort(hashes, kind="stable")
+        hashes, at = hashes[order], at[order]
+        item = np.searchsorted(first, at, "right") - 1
+        filter_ = np.zeros(1 << FILTER_BITS, bool)
+        filter_[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        seeds.append(Seeds(run, hashes, item, at - first[item], filter_))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    return Index([name for name, _ in listed], texts, np.diff(first), data, first, seeds)
+
+
+def candidates(
+    index: Index, data: np.ndarray, first: np.ndarray, most_edits: float = MOST_EDITS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, item, byte at which the item would begin) of seeds whose surroundings are near, in order."""
+    sums, found = rolling.prefix_sums(rolling.BYTE_UNITS[data]), []
+    for seeds in index.seeds:
+        hashes = _run_hashes(sums, seeds.run)
+        at = np.flatnonzero(seeds.filter[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+        # a run that goes on into the next text is none
+        at = at[at + seeds.run <= first[np.searchsorted(first, at, "right")]]
+        low = np.searchsorted(seeds.hashes, hashes[at])
+        count = np.searchsorted(seeds.hashes, hashes[at], "right") - low
+        at, low, count = at[count > 0], low[count > 0], count[count > 0]
+        # a bounded number of pairs at a time
+        cuts = np.flatnonzero(np.diff(np.cumsum(count) // MOST_PAIRS)) + 1
+        for a, lo, n in zip(np.split(at, cuts), np.split(low, cuts), np.split(count, cuts)):
+            if not len(a):
+                continue
+            place = np.repeat(a, n)
+            entry = np.repeat(lo - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+            item, offset = seeds.item[entry], seeds.offset[entry]
+            text = np.searchsorted(first, place, "right") - 1
+            # of a longer run's seeds, which follow one another, one will do
+            keys = ((text << 44) + (item << 20) + offset // (AROUND // 4)).view(np.uint64)
+            keys = rolling.mix(rolling.mix(keys) + (place - offset).view(np.uint64))
+            _, one = np.unique(keys, return_index=True)
+            place, item, offset, text = place[one], item[one], offset[one], text[one]
+            for around in (CLOSE, AROUND):
+                near = _near(index, item, offset, data, first, text, place, seeds.run, most_edits, around)
+                place, item, offset, text = place[near], item[near], offset[near], text[near]
+            found.append(np.stack([text, item, place - offset - first[text]]))
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    rows = np.unique(np.concatenate(found, axis=1), axis=1)
+    return rows[0], rows[1], rows[2]
+
+
+def _near(
+    index: Index,
+    item: np.ndarray,
+    offset: np.ndarray,
+    data: np.ndarray,
+    first: np.ndarray,
+    text: np.ndarray,
+    place: np.ndarray,
+    run: int,
+    most_edits: float,
+    around: int,
 ) -> np.ndarray:
-    place = np.repeat(at, count)
-    entry = np.repeat(low - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
-    text = np.searchsorted(first, place, "right") - 1
-    pointer, start, end = place.copy(), first[text], first[text + 1]
-    for step in range(1, FURTHEST_STEP + 1):
-        if not len(place):
-            break
-        last = index.steps[entry, -1]
-        going = last >= step
-        walk, way = index.walk[entry], index.way[entry]
-        inside = (pointer >= start) & (pointer < end)
-        units = np.where(inside, hashes[np.clip(pointer, 0, len(hashes) - 1)], np.uint64(0))
-        pointer = np.where(going & inside, pointer + way * _move(units, walk, step), pointer)
-        inside = (pointer >= start) & (pointer < end)
-        units = np.where(inside, hashes[np.clip(pointer, 0, len(hashes) - 1)], np.uint64(0))
-        sampled = index.steps[entry] == step
-        right = (~sampled | (index.seen[entry] == units[:, None])).all(axis=1)
-        if not right.all():
-            place, entry, text, pointer, start, end = (x[right] for x in (place, entry, text, pointer, start, end))
-    return np.stack([text, index.item[entry], place - index.offset[entry]], axis=1)
+    """Whether up to ``around`` bytes of the item around a seed are near some part of the text there.
+
+    Edit distance as in ``edit_distance_within``, of all rows at once in words of ``around`` bits.
+    """
+    if not len(item):
+        return np.zeros(0, bool)
+    word = {32: np.uint32, 64: np.uint64}[around]
+    size = index.sizes[item]
+    part = np.minimum(size, around)
+    begin = np.clip(offset - (part - run) // 2, 0, size - part)
+    pattern = index.data[np.clip((index.first[item] + begin)[:, None] + np.arange(around), 0, len(index.data) - 1)]
+    pattern[np.arange(around) >= part[:, None]] = 0  # no text has this byte
+    one, top = word(1), word(1) << (part - 1).astype(word)
+    whole = top | (top - one)
+    slack = np.maximum(2, np.where(size <= around, np.floor(size * most_edits), part * 0.15).astype(np.int64) + 1)
+    start = place - (offset - begin) - slack
+    plus, minus, distance = whole.copy(), np.zeros_like(whole), part.copy()
+    best = distance.copy()
+    for step in range(int((part + 2 * slack).max())):
+        at = start + step
+        here = (at >= first[text]) & (at < first[text + 1]) & (step < part + 2 * slack)
+        byte = data[np.clip(at, 0, len(data) - 1)]
+        equal = np.packbits(pattern == byte[:, None], axis=1, bitorder="little").view(word)[:, 0]
+        same = equal | minus
+        diagonal = (((equal & plus) + plus) ^ plus) | equal
+        up = (minus | ~(diagonal | plus)) & whole
+        down = plus & diagonal
+        change = ((up & top) != 0).astype(np.int8) - ((down & top) != 0).astype(np.int8)
+        up, down = (up << one) & whole, (down << one) & whole
+        plus = np.where(here, (down | ~(same | up)) & whole, plus)
+        minus = np.where(here, up & same, minus)
+        distance = np.where(here, distance + change, distance)
+        best = np.minimum(best, distance)
+    return best <= np.where(size <= around, size * most_edits, part * MOST_AROUND)
 
 
 def edit_distance_within(item: bytes, window: bytes) -> int:
@@ -172,36 +207,41 @@ def edit_distance_within(item: bytes, window: bytes) -> int:
 
 def hits(index: Index, texts: list[bytes], most_edits: float = MOST_EDITS) -> list[tuple[int, int, int, int]]:
     """(text, item, edits, word at which it begins) of every item found in a text, at its best place."""
-    if not len(index.first):
+    if not index.items:
         return []
-    plain = [t.translate(WORDS) for t in texts]
-    hashes, first, starts, ends = rolling.words_of(plain)
-    if not len(hashes):
+    bodies = [plain(t) for t in texts]
+    data = np.frombuffer(b"".join(bodies), np.uint8)
+    if not len(data):
         return []
-    bounds = np.append(0, np.cumsum([len(t) + 1 for t in plain]))
+    first = np.append(0, np.cumsum([len(t) for t in bodies])).astype(np.int64)
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for text, item, begin in zip(*(x.tolist() for x in candidates(index, hashes, first))):
+    last: dict[tuple[int, int], int] = {}
+    for text, item, begin in zip(*(x.tolist() for x in candidates(index, data, first, most_edits))):
         size = int(index.sizes[item])
-        slack = math.ceil(size * most_edits) + 2
-        lo, hi = max(int(first[text]), begin - slack), min(int(first[text + 1]), begin + size + slack)
-        if hi <= lo:
+        slack = math.ceil(size * most_edits)
+        # the part searched spans a quarter of the slack more, so near places need no search of their own
+        if begin - last.get((text, item), -size) <= slack // 4 and (text, item) in last:
             continue
-        window = plain[text][starts[lo] - bounds[text] : ends[hi - 1] - bounds[text]]
-        edits = edit_distance_within(index.texts[item], b" ".join(window.split()))
-        if edits <= most_edits * len(index.texts[item]):
-            found = (edits, begin - int(first[text]))
+        last[text, item] = begin
+        window = bodies[text][max(0, begin - slack) : begin + size + slack + slack // 4 + 1]
+        edits = edit_distance_within(index.texts[item], window)
+        if edits <= most_edits * size:
+            found = (edits, bodies[text].count(b" ", 0, max(0, begin)))
             best[text, item] = min(best.get((text, item), found), found)
     return [(text, item, *found) for (text, item), found in sorted(best.items())]
 
 
-def item_blocks(items: DataFrame, key: str = "item_id", text: str = "text") -> Iterator[Index]:
+def item_blocks(
+    items: DataFrame, key: str = "item_id", text: str = "text", most_edits: float = MOST_EDITS
+) -> Iterator[Index]:
     """Indexes over all items, in blocks of about ``BLOCK_BYTES`` of text, each small enough for every task."""
     sizes = items.select(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, math.ceil(sizes / BLOCK_BYTES))
     of = F.pmod(F.xxhash64(key, text), F.lit(blocks))
     for n in range(blocks):
         rows = items.where(of == n).select(F.col(key).cast("bigint"), text).distinct().collect()
-        yield build_index(sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")))
+        listed = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+        yield build_index(listed, most_edits)
 
 
 def find_items(
@@ -210,8 +250,8 @@ def find_items(
     """Benchmark items found in documents: key, ``item_id``, ``edits``, ``item_chars``, ``at_word``.
 
     A row for each document and item within ``most_edits`` edits per character of the item, at the item's
-    best place. Both sides are lower-cased and reduced to words of letters and digits. Items of fewer than
-    ``LEAST_WORDS`` words are not looked for, as they say nothing; null texts hold nothing. Repeated rows
+    best place. Both sides are lower-cased and reduced to words of letters and digits. Every item that has any
+    is looked for, however short; null texts hold nothing. Repeated rows
     give repeated results, null keys are carried, other columns do not matter. The items are the query set:
     each block of them is met by all documents in turn.
     """
@@ -220,8 +260,8 @@ def find_items(
         F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
     )
     out = None
-    for index in item_blocks(items):
-        shared = context.broadcast(index)  # a block's walks: its size is bounded by BLOCK_BYTES
+    for index in item_blocks(items, most_edits=most_edits):
+        shared = context.broadcast(index)  # a block's seeds: its size is bounded by BLOCK_BYTES
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for part, texts in rolling.in_chunks(batches, 1):
