@@ -36,3 +36,26 @@ def test_letter_edits(spark, share, kinds):
     assert found <= want
     assert len(found & want) >= 0.9 * len(want)
     assert len(want) >= 0.8 * len(rows) or share > 0.18
+
+
+ODD = ["Ja", "x", "forty two", "Who wrote Emma?", "東京は日本の首都であり人口は約千四百万人である", "ภาษาไทยไม่มีการเว้นวรรคระหว่างคำ", "é"]
+
+
+def test_items_of_few_words(spark):
+    pad = "zzz qqq 0000 kkk"
+    docs = [(n, f"{pad} {t} {pad}") for n, t in enumerate(ODD)]
+    docs += [(100, f"{pad} whq wrote emmu {pad}"), (101, f"{pad} 東京は日本の首都であり人口は約千五百万人である {pad}")]
+    docs += [(n, f"{pad[: n - 200]}{ODD[4][: n - 195]}" + ODD[4][n - 194 :] + pad) for n in range(200, 206)]
+    docs += [(300, pad), (301, None), (302, "")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    items = spark.createDataFrame(list(enumerate(ODD)) + [(50, ""), (51, "?!"), (52, None)], "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(df, items).collect()}
+    want = set()
+    for n, t in enumerate(ODD):
+        item = decontaminate.plain(t.encode())
+        for d, text in docs:
+            if text and decontaminate.edit_distance_within(item, decontaminate.plain(text.encode())) <= 0.2 * len(item):
+                want.add((d, n))
+    assert found == want and {(n, n) for n in range(len(ODD))} <= found
+    kept = {r["doc_id"] for r in decontaminate.drop_contaminated(df, items).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, _ in want}
