@@ -13,6 +13,7 @@ from wintide.llm import (
     bpe,
     decontaminate,
     ordinal_quality,
+    posting_lists,
     secrets_index,
     simhash,
     suffix_levels,
@@ -144,3 +145,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in the documents."""
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered
+def op11_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest neighbours of every hundredth vector among all."""
+    return posting_lists.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
