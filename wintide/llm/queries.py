@@ -13,6 +13,7 @@ from wintide.llm import (
     bpe,
     decontaminate,
     ordinal_quality,
+    pair_bounds,
     posting_lists,
     secrets_index,
     simhash,
@@ -151,3 +152,9 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest neighbours of every hundredth vector among all."""
     return posting_lists.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@registered
+def op13_pair_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty highest-scoring documents for every benchmark item."""
+    return pair_bounds.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

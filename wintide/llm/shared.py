@@ -30,7 +30,15 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     spark = df.sparkSession
     path = fresh_folder(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the folders of staged tables that nothing will read any more."""
+    for df in frames:
+        drop_folder(df.sparkSession, df.staged_at)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
