@@ -107,11 +107,26 @@ def test_components(spark):
     assert found == {**{n: 0 for n in range(1, 61)}, **{n: 100 for n in range(200, 260)}}
 
 
-def test_keep_one(documents, corpus):
+def test_keep_one(spark, documents, corpus, empty):
     kept = simhash.keep_one(documents)
     assert kept.columns == documents.columns
-    near = {r["doc_id"] for r in simhash.near_duplicates(documents).where("doc_id = component_id").collect()}
-    assert {r["doc_id"] for r in kept.collect()} == near | {None}
+    near = {r[0] for r in simhash.near_duplicates(documents).select("component_id").distinct().collect()}
+    rows = kept.collect()
+    assert len(rows) == len(near) and {r["doc_id"] for r in rows} == near
+    assert simhash.keep_one(empty).count() == 0
+
+
+def test_keep_one_tells_texts_of_one_id_apart(spark):
+    other = "totally other words stand here and no copy of them is anywhere else"
+    long = " ".join(f"w{n % 977}" for n in range(200_000))
+    rows = [
+        (1, "alpha beta gamma delta epsilon zeta", 0), (1, other, 1), (1, other, 0), (2, other, 2), (None, other, 3),
+        (None, "a text without id that nobody else has in this table", 4), (3, None, 5), (4, "", 6), (5, long, 7), (6, long, 8),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row_0 int").repartition(3)
+    kept = sorted((r["row_0"], r["doc_id"]) for r in simhash.keep_one(docs).collect())
+    # two rows repeat the id and the text: the first by its other columns stays
+    assert kept == [(0, 1), (0, 1), (4, None), (5, 3), (7, 5)]
 
 
 def held_out(spark):

@@ -19,6 +19,7 @@ from wintide.llm import (
     simhash,
     suffix_levels,
     suffix_trees,
+    token_links,
     url_rules,
     warc_zip,
     weighted_sampling,
@@ -158,3 +159,14 @@ def op11_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_pair_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fifty highest-scoring documents for every benchmark item."""
     return pair_bounds.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups of every document under two tokenizers, and the counts of their links."""
+    return token_links.align_tokens(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.PATTERN,
+    )

@@ -17,7 +17,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wintide.llm import rolling
@@ -52,18 +52,21 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id`` and ``print`` (the 64 bits as a signed number) of every row; a null text has no words."""
+    """``id``, ``print`` (the 64 bits as a signed number) and ``hash`` (of the text) of every row.
+
+    A null text has no words, like an empty one.
+    """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in rolling.in_chunks(iter([batch]), 1):
                 prints = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints)], ["id", "print"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints), part.column(2)], ["id", "print", "hash"])
 
     rows = docs.select(
         F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
     )
-    return rows.mapInArrow(compute, "id bigint, print bigint")
+    return rows.select("id", "text", F.xxhash64("text").alias("hash")).mapInArrow(compute, "id bigint, print bigint, hash bigint")
 
 
 def _masks(first: int, bits: int, most: int) -> list[int]:
@@ -228,6 +231,14 @@ def _link_rows(a: np.ndarray, b: np.ndarray | None, centre: np.ndarray | None) -
     return pa.RecordBatch.from_arrays([column(a), column(b), column(centre)], ["a", "b", "centre"])
 
 
+def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
+    """Distinct prints with the ``root`` of the component that each belongs to."""
+    roots = connected(links(nodes.select("print"), radius))
+    return nodes.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn(
+        "root", F.coalesce("root", "print")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -240,11 +251,7 @@ def near_duplicates(
     if radius > 4:
         raise ValueError("halves meet in the middle up to a radius of 4")
     prints = staged(fingerprints(docs, shingle, key, text), "fingerprints")
-    nodes = prints.groupBy("print").agg(F.min("id").alias("first"))
-    roots = connected(links(nodes.select("print"), radius))
-    rooted = nodes.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn(
-        "root", F.coalesce("root", "print")
-    )
+    rooted = _rooted(prints.groupBy("print").agg(F.min("id").alias("first")), radius)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     labelled = rooted.join(least, "root").select("print", "component_id")
     return prints.join(labelled, "print").select(
@@ -254,13 +261,30 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row with the smallest id of each component, with all its columns; once, if rows repeat its id.
+def keep_one(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row of each component, with all its columns: that with the smallest id, then the smallest hash of the text.
 
-    Rows without an id cannot be named and stay.
+    Rows of one id but different texts are told apart, so none goes unless its component keeps another. Null
+    ids come last, so such a row stays only where its component has no id. Null and empty texts are one
+    component. Of rows that repeat id and text, the first by their JSON form stays. An empty table stays empty.
     """
-    found = near_duplicates(docs, key=key, text=text)
-    kept = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("kept_id")).distinct()
-    named = docs.where(F.col(key).isNotNull())
-    one = named.join(kept, named[key] == kept["kept_id"], "left_semi").dropDuplicates([key])
-    return one.unionByName(docs.where(F.col(key).isNull()))
+    prints = staged(fingerprints(docs, shingle, key, text), "fingerprints")
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "hash")
+    rooted = _rooted(prints.groupBy("print").agg(F.min(place).alias("first")), radius)
+    chosen = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.hash")
+    counted = prints.groupBy("id", "hash").agg(F.count(F.lit(1)).alias("rows"))
+    same = F.col("chosen.id").eqNullSafe(F.col("counted.id")) & (F.col("chosen.hash") == F.col("counted.hash"))
+    kept = staged(
+        chosen.alias("chosen").join(counted.alias("counted"), same).select("chosen.id", "chosen.hash", "rows"), "kept-rows"
+    )
+    mine = docs[key].cast("bigint"), F.xxhash64(F.coalesce(docs[text], F.lit("")).cast("binary"))
+    once, often = (
+        docs.join(kept.where(some), mine[0].eqNullSafe(kept["id"]) & (mine[1] == kept["hash"]), "left_semi")
+        for some in (F.col("rows") == 1, F.col("rows") > 1)
+    )
+    number = next(f"row_{n}" for n in range(len(docs.columns) + 1) if f"row_{n}" not in docs.columns)
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    first = Window.partitionBy(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit("")))).orderBy(whole)
+    return once.unionByName(often.withColumn(number, F.row_number().over(first)).where(F.col(number) == 1).drop(number))
