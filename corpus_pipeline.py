@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wintide.llm import bpe, decontaminate, near_copies, ordinal_quality, secrets_index
+from wintide.llm import bpe, decontaminate, ordinal_quality, secrets_index, simhash
 from wintide.llm.shared import fresh_folder, ship_package
 
 # A trained model and hashed near-duplicates are beyond SQL; the stages are tested against brute force.
@@ -16,32 +16,39 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model rejects go. It is trained on the labelled ones among the stage's input."""
+    """Documents that the quality model rejects go. It is trained on the labelled ones among the stage's input.
+
+    A null text is judged as an empty one; null ids and repeated rows are judged each by its text.
+    """
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return ordinal_quality.keep_good(docs, ordinal_quality.train(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that with the smallest id."""
+    """One document of each group of near-duplicates stays, that with the smallest id (null ids last).
+
+    Groups are those of operator 6: fingerprints of four-word shingles, linked at up to 4 bits. Null and empty
+    texts are one group; of several texts under one id only those in the same group go.
+    """
     ship_package(spark)
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; null and empty texts, on either side, match nothing."""
     ship_package(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the texts; all documents stay."""
+    """Secrets are replaced in the texts; all documents stay, and null texts stay null."""
     ship_package(spark)
     return secrets_index.redact(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
+    """Token ids of every row that is left; a null or empty text has none."""
     ship_package(spark)
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
