@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wintide.llm.shared import staged
@@ -389,7 +389,7 @@ def _compared(postings: DataFrame, wanted: DataFrame, blocks: DataFrame, k: int)
 
 
 def nearest_neighbours(
-    df: DataFrame, asking, k: int = 10, key: str = "vec_id", vector: str = "embedding"
+    df: DataFrame, asking: Column | str, k: int = 10, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """The ``k`` nearest rows found for every row that the condition ``asking`` (on ``id``) picks.
 
