@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks.registry import AS_OF, Tables, as_of_date, query
@@ -36,6 +36,7 @@ from wintide.functions import (
 )
 from wintide.operators import (
     Feature,
+    Flag,
     account_360,
     any_like,
     as_of_instant,
@@ -48,16 +49,17 @@ from wintide.operators import (
     engagement_score,
     exclude_members_unless,
     flagged_accounts,
+    flags_of_set,
     funnel_durations,
     funnel_rollup,
     is_member,
     latest_per_key,
     latest_snapshot,
     lookup,
-    membership_flag,
     milestones,
     month_offsets,
     more_than,
+    on_days,
     only,
     owner_chain,
     preaggregate_join,
@@ -73,7 +75,7 @@ from wintide.operators import (
     with_calendar,
     within,
 )
-from wintide.sources import stage
+from wintide.sources import TableSet, attach_database, fresh_place, read_table, stage, write_table
 
 PRIORITY_GROUPS = {
     "high": ["1-URGENT", "2-HIGH"],
@@ -293,6 +295,58 @@ def scd2_as_of_by_slice(t: Tables) -> DataFrame:
     return out.drop("ship_day")
 
 
+@query(AS_OF_SQL)
+def scd2_as_of_by_range(t: Tables) -> DataFrame:
+    """Same rows, keys with more than two versions dealt over ranges of their own versions."""
+    at = as_of_instant("ship_day", date(1996, 7, 1))
+    on = [("o_custkey", "id")]
+    out = scd2_as_of(shipments(t), priority_history(t), on, at, columns=["priority"], per_range=2)
+    return out.drop("ship_day")
+
+
+# A third of all orders share one key, which has a version for every day of its orders.
+HOT_KEY = "CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END"
+
+
+@query(f"""
+WITH daily AS (
+  SELECT {HOT_KEY} AS id, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS top, count(*) AS n FROM orders GROUP BY ALL),
+history AS (
+  SELECT id, top, n, day::TIMESTAMP AS valid_from,
+    coalesce(lead(day) OVER (PARTITION BY id ORDER BY day), DATE '2002-01-01')::TIMESTAMP AS valid_to FROM daily),
+shipped AS (
+  SELECT {HOT_KEY} AS id, l_shipdate::DATE::TIMESTAMP AS at_ts, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT s.id, count(*) AS matched, count(DISTINCT at_ts) AS days, max(top) AS top, sum(n)::BIGINT AS orders_seen
+FROM shipped s JOIN history h ON h.id = s.id AND at_ts BETWEEN valid_from AND valid_to GROUP BY 1
+""")
+def scd2_as_of_hot_key(t: Tables) -> DataFrame:
+    """A third of all shipments and thousands of touching versions under one key; both versions count at a touch."""
+    key = F.when(F.col("o_custkey") % 3 == 0, 0).otherwise(F.col("o_custkey")).alias("id")
+    day = F.to_date("o_orderdate").alias("day")
+    daily = t.orders.groupBy(key, day).agg(F.max("o_totalprice").alias("top"), F.count(F.lit(1)).alias("n"))
+    following = F.lead("day").over(Window.partitionBy("id").orderBy("day"))
+    history = daily.select(
+        "id",
+        "top",
+        "n",
+        F.col("day").cast("timestamp").alias("dw_eff_start"),
+        F.coalesce(following, F.lit(date(2002, 1, 1))).cast("timestamp").alias("dw_eff_end"),
+    )
+    lines = t.lineitem.select("l_orderkey", F.to_date("l_shipdate").alias("ship_day"))
+    shipped = lookup(lines, t.orders, [("l_orderkey", "o_orderkey")], [key], "inner")
+    at = F.col("ship_day").cast("timestamp")
+    met = scd2_as_of(shipped, history, "id", at, how="inner", per_range=64)
+    days = met.groupBy("id", "ship_day").agg(
+        F.count(F.lit(1)).alias("m"), F.max("top").alias("top"), F.sum("n").alias("seen")
+    )
+    return days.groupBy("id").agg(
+        F.sum("m").alias("matched"),
+        F.count(F.lit(1)).alias("days"),
+        F.max("top").alias("top"),
+        F.sum("seen").alias("orders_seen"),
+    )
+
+
 @query(f"""
 WITH {WINS}, daily AS (
   SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS top, count(*) AS n FROM orders GROUP BY ALL)
@@ -524,20 +578,19 @@ SELECT c_custkey, CASE WHEN c_custkey IN (FROM s) THEN c_custkey END AS buyer,
 def membership_flags(t: Tables) -> DataFrame:
     buyers = t.events.filter("event_type = 'purchase'").select("user_id")
     on, key = ("c_custkey", "user_id"), F.col("c_custkey")
-    out = membership_flag(t.customer, buyers, on, "buyer", key)
-    out = membership_flag(out, buyers, on, "non_buyer", key, negate=True)
-    return out.select("c_custkey", "buyer", "non_buyer")
+    both = [Flag("buyer", key), Flag("non_buyer", key, negate=True)]
+    return flags_of_set(t.customer, buyers, on, both).select("c_custkey", "buyer", "non_buyer")
 
 
 @query("""
-WITH s AS (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END AS k FROM orders WHERE o_totalprice > 400000),
+WITH s AS (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END AS k FROM orders),
 p AS (SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN c_custkey END AS probe FROM customer)
 SELECT c_custkey, CAST(probe IN (FROM s) AS VARCHAR) AS member FROM p
 """)
 def membership_with_nulls(t: Tables) -> DataFrame:
     """Three-valued IN: NULL probes and a NULL inside the set stay undecided."""
     key = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).alias("k")
-    keys = t.orders.filter("o_totalprice > 400000").select(key)
+    keys = t.orders.select(key)
     probe = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 3 > 0, F.col("c_custkey")).alias("probe"))
     out = is_member(probe, keys, ("probe", "k"), "member")
     return out.select("c_custkey", F.col("member").cast("string").alias("member"))
@@ -771,6 +824,21 @@ def transition_labels(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_custkey").agg(transition(before, after, "Churned").alias("change"))
 
 
+@query("""
+WITH first AS (SELECT user_id, min(CAST(ts AS DATE)) AS day FROM events GROUP BY 1)
+SELECT user_id, day::VARCHAR AS day, count(*) AS events, round(sum(value), 2) AS value
+FROM events JOIN first USING (user_id) WHERE CAST(ts AS DATE) = day GROUP BY ALL
+""")
+def first_day_activity(t: Tables) -> DataFrame:
+    """Each user's events on the first day: of a long log, little more than those lines is shuffled."""
+    log = t.events.select("user_id", "value", F.to_date("ts").alias("day"))
+    first = log.groupBy("user_id").agg(F.min("day").alias("day"))
+    lines = on_days(log, first, ["user_id", "day"], "day", filter_words=1 << 17)
+    return lines.groupBy("user_id", "day").agg(
+        F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("value")
+    )
+
+
 # ---- assembly ----------------------------------------------------------------------------------
 
 
@@ -842,14 +910,17 @@ def account_360_view(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT o_custkey, max(o_totalprice) AS top, max(o_orderpriority) AS label FROM orders WHERE o_totalprice > 350000 GROUP BY 1),
+WITH a AS (SELECT o_custkey, max(CASE WHEN o_totalprice > 350000 THEN o_totalprice END) AS top,
+  max(CASE WHEN o_totalprice > 350000 THEN o_orderpriority END) AS label FROM orders GROUP BY 1),
 b AS (SELECT user_id, max(value) AS top, max(event_type) AS label FROM events GROUP BY 1)
 SELECT c_custkey, coalesce(a.top, b.top) AS top, coalesce(a.label, b.label) AS label
 FROM customer LEFT JOIN a ON c_custkey = o_custkey LEFT JOIN b ON c_custkey = user_id
 """)
 def first_non_null_source(t: Tables) -> DataFrame:
-    orders = t.orders.filter("o_totalprice > 350000").groupBy("o_custkey").agg(
-        F.max("o_totalprice").alias("top"), F.max("o_orderpriority").alias("label")
+    large = F.col("o_totalprice") > 350000
+    orders = t.orders.groupBy("o_custkey").agg(
+        F.max(F.when(large, F.col("o_totalprice"))).alias("top"),
+        F.max(F.when(large, F.col("o_orderpriority"))).alias("label"),
     )
     activity = t.events.groupBy("user_id").agg(F.max("value").alias("top"), F.max("event_type").alias("label"))
     sources = [(orders, ("c_custkey", "o_custkey")), (activity, ("c_custkey", "user_id"))]
@@ -973,8 +1044,65 @@ def preaggregated_feature(t: Tables) -> DataFrame:
 SELECT o_custkey, o_orderstatus, round(sum(o_totalprice), 2) AS spend FROM orders GROUP BY ALL
 """)
 def staged_totals(t: Tables) -> DataFrame:
-    """A roll-up written to the shared folder and read back (unchanged without such a folder)."""
+    """A roll-up written to the shared folder and read back."""
     totals = t.orders.groupBy("o_custkey", "o_orderstatus").agg(
         F.round(F.sum("o_totalprice"), 2).alias("spend")
     )
     return stage(totals, "staged_totals")
+
+
+@query("""
+SELECT o_custkey, n AS orders, coalesce(m, 0) AS events, spend FROM
+  (SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS spend FROM orders WHERE o_orderstatus <> 'O' GROUP BY 1)
+  LEFT JOIN (SELECT user_id, count(*) AS m FROM events GROUP BY 1) ON user_id = o_custkey
+""")
+def stored_reports_joined(t: Tables) -> DataFrame:
+    """Two reports stored in buckets of the account and read back: the join between them shuffles nothing.
+
+    The first is written twice, the second time replacing only the partition of one order status.
+    """
+    spark, place = t.spark, fresh_place(t.spark, "stored_reports")
+    buckets = (8, ["account"])
+    spend = F.round(F.sum("o_totalprice"), 2).alias("spend")
+    per_account = t.orders.groupBy(F.col("o_custkey").alias("account"), "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("spend")
+    )
+    by_status = f"{place}/by_status"
+    write_table(per_account.withColumn("spend", F.lit(0.0)), by_status, partition_by=["o_orderstatus"])
+    for status in ("F", "P"):
+        mine = per_account.filter(F.col("o_orderstatus") == status)
+        write_table(mine, by_status, partition_by=["o_orderstatus"], mode="overwrite_partitions")
+    closed = read_table(spark, by_status).filter("o_orderstatus <> 'O'").groupBy("account")
+    totals = closed.agg(F.sum("orders").alias("orders"), F.round(F.sum("spend"), 2).alias("spend"))
+    events = t.events.groupBy(F.col("user_id").alias("account")).agg(F.count(F.lit(1)).alias("events"))
+    names = [f"stored_{n}_{place.rsplit('-', 1)[1]}" for n in ("spend", "events")]
+    for name, report in zip(names, (totals, events)):
+        write_table(report, name, as_table=True, bucket_by=buckets, location=f"{place}/{name}")
+    spends, counts = (read_table(spark, n) for n in names)
+    joined = lookup(spends.hint("merge"), counts, "account", ["events"])
+    return joined.select(
+        F.col("account").alias("o_custkey"), "orders", F.coalesce("events", F.lit(0)).alias("events"), "spend"
+    )
+
+
+@query("""
+SELECT n_name, count(*) AS accounts, sum(coalesce(n, 0))::BIGINT AS events FROM customer
+JOIN nation ON n_nationkey = c_nationkey LEFT JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY 1) ON user_id = c_custkey
+GROUP BY 1
+""")
+def tables_of_several_databases(t: Tables) -> DataFrame:
+    """One report over three databases: accounts, geography and usage, each table found by its logical name."""
+    place = fresh_place(t.spark, "databases")
+    databases = {"sales": ["customer"], "geo": ["nation"], "usage": ["events"]}
+    names = {}
+    for database, tables in databases.items():
+        named = f"{database}_{place.rsplit('-', 1)[1]}"
+        paths = {table: f"{t.folder}/{table}.parquet" for table in tables}
+        names |= attach_database(t.spark, named, paths, f"{place}/{database}")
+    tables = TableSet(t.spark, names=names)
+    per_user = tables["events"].groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    accounts = lookup(tables["customer"], tables["nation"], [("c_nationkey", "n_nationkey")], ["n_name"], "inner")
+    joined = lookup(accounts, per_user, [("c_custkey", "user_id")], ["n"])
+    return joined.groupBy("n_name").agg(
+        F.count(F.lit(1)).alias("accounts"), F.sum(F.coalesce("n", F.lit(0))).alias("events")
+    )

@@ -19,10 +19,10 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
-        self._folder = folder
+        self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
 def comparable(df: DataFrame, maybe_null: Sequence[str]) -> DataFrame:

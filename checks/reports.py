@@ -38,7 +38,7 @@ def yesterday() -> F.Column:
 
 
 def domain(t: Tables) -> Domain:
-    return Domain(t.spark, t._folder)
+    return Domain(t.spark, t.folder)
 
 
 def case_bands(col: str, steps: list, top: str, default: str, exact: dict) -> str:
@@ -234,7 +234,10 @@ MM_FEATURES = (
     coalesce(sum(baseplan_quantity) FILTER (WHERE product_line IN ('Support', 'Chat', 'Talk')), 0) AS seats,
     coalesce(sum(baseplan_quantity) FILTER (WHERE {PAID_LINE}), 0) AS support_seats,
     coalesce(max(plan_type) FILTER (WHERE {PAID_LINE}), 0) AS top_level,
-    round(sum(plan_type * baseplan_quantity) FILTER (WHERE {PAID_LINE}) / sum(baseplan_quantity) FILTER (WHERE {PAID_LINE})) AS avg_level
+    round(sum(plan_type * baseplan_quantity) FILTER (WHERE {PAID_LINE}) / sum(baseplan_quantity) FILTER (WHERE {PAID_LINE})) AS avg_level,
+    coalesce(sum(baseplan_quantity) FILTER (WHERE {PAID_LINE} AND contains(product_offering, 'Enterprise')), 0) AS enterprise_seats,
+    count(DISTINCT CASE WHEN contains(product_offering, 'Answer') THEN 'Answer Bot' WHEN product_type_derived = 'Addon' THEN 'Add-on'
+      ELSE product_line END) AS kinds
   FROM revenue_lines JOIN product_dim USING (productrateplancharge_id)
   LEFT JOIN product_plan_matrix m ON coalesce(base_product_plan, revenue_lines.product_plan) = m.product_plan
   WHERE dw_curr_ind = 'Y' AND net_arr > 0 AND product_offering <> 'Talk Partner' GROUP BY ALL)""",
@@ -242,7 +245,10 @@ MM_FEATURES = (
   SELECT mrr_date, crm_account_id, string_agg(product_line, ',' ORDER BY product_line) AS combo,
     CAST(CASE WHEN bool_or(ela) THEN greatest(max(seats), 1000) ELSE max(seats) END AS BIGINT) AS seats,
     CAST(CASE WHEN bool_or(ela) THEN greatest(max(support_seats), 1000) ELSE max(support_seats) END AS BIGINT) AS support_seats,
-    CAST(CASE WHEN bool_or(ela OR premier) THEN 5 ELSE max(top_level) END AS INTEGER) AS top_level
+    CAST(CASE WHEN bool_or(ela OR premier) THEN 5 ELSE max(top_level) END AS INTEGER) AS top_level,
+    CAST(CASE WHEN bool_or(ela) THEN greatest(max(enterprise_seats), 1000) ELSE max(enterprise_seats) END AS BIGINT) AS enterprise_seats,
+    count(DISTINCT product_line) AS lines, CAST(sum(kinds) AS BIGINT) AS kinds,
+    CAST(CASE WHEN bool_or(ela OR premier) THEN 5 ELSE max(avg_level) END AS DOUBLE) AS avg_level
   FROM line_levels GROUP BY ALL)""",
     f"""states AS (
   SELECT a.crm_account_id, a.the_date, w.combo AS combo_w, w.seats AS seats_w, w.support_seats AS support_w, w.top_level AS top_w,
@@ -306,21 +312,15 @@ MM_CHAIN = (*MM_FEATURES, MM_ACCOUNTS, CLOSED_SQL, HISTORY_SQL, MM_EXPANSIONS)
 @query(
     prelude(*MM_FEATURES)
     + """SELECT mrr_date::VARCHAR AS mrr_date, crm_account_id, combo AS product_combo, seats AS paid_agents,
-  support_seats AS paid_support_agents, top_level AS max_support_plan FROM levels"""
+  support_seats AS paid_support_agents, top_level AS max_support_plan, lines AS base_product_count, kinds AS all_product_count,
+  enterprise_seats AS paid_support_enterprise_agents, avg_level AS avg_support_plan FROM levels"""
 )
 def revenue_rollup(t: Tables) -> DataFrame:
     """Revenue lines -> product lines -> accounts, over every account and day."""
     d = domain(t)
     lines = charge_totals(d["revenue_lines"])
     out = product_rollup(lines, current_rows(d["product_dim"]), d["product_plan_matrix"])
-    return out.select(
-        "mrr_date",
-        "crm_account_id",
-        "product_combo",
-        "paid_agents",
-        "paid_support_agents",
-        "max_support_plan",
-    )
+    return out.withColumn("avg_support_plan", F.col("avg_support_plan").cast("double"))
 
 def mm_domain(t: Tables) -> Domain:
     d = domain(t)
@@ -649,8 +649,8 @@ def account_360_full(t: Tables) -> DataFrame:
 
 # ---- target lists ------------------------------------------------------------------------------
 
-# Smaller than the published quotas, so that driver regions are really cut; one stays too large.
-REGION_QUOTAS = {"AMER": 40, "EMEA": 25, "APAC": 10, "LATAM": 10_000_000}
+# Smaller than the published quotas, so that driver regions are really cut; one is larger than any region.
+REGION_QUOTAS = {"AMER": 40, "EMEA": 25, "APAC": 10, "LATAM": 4_000_000_000_000_000_000}
 OWNED_SQL = """owned AS (
   SELECT a.id, a.name AS company, employee_range__c, success_owner__c, u.id AS owner_id, u.name AS owner, u.email AS owner_email, r.name AS owner_role
   FROM crm_accounts a JOIN crm_users u ON u.id = ownerid JOIN crm_roles r ON r.id = userroleid

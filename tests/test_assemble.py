@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 from tests.conftest import rows_of
 
@@ -10,7 +11,7 @@ from wintide.operators import (
     account_360,
     as_of_instant,
     coalesce_sources,
-    duplicate_keys,
+    one_per_key,
     owner_chain,
 )
 
@@ -34,10 +35,31 @@ def test_account_360_keeps_driver_rows_for_unique_features(frame):
     ]
 
 
-def test_duplicate_keys(frame):
-    df = frame("id int, v int", [(1, 1), (1, 2), (2, 1)])
-    assert rows_of(duplicate_keys(df, ["id"])) == [(1, 2)]
-    assert duplicate_keys(df, ["id", "v"]).count() == 0
+def test_one_per_key_merges_repeats_and_leaves_null_keys_out(frame):
+    df = frame("id int, v string, w int", [(1, "a", 2), (1, "a", 2), (2, None, None), (2, None, None), (None, "x", 1), (None, "y", 1)])
+    assert rows_of(one_per_key(df, ["id"])) == [(1, "a", 2), (2, None, None)]
+    assert rows_of(one_per_key(df.select("id"), ["id"])) == [(1,), (2,)]
+    assert one_per_key(df.filter("id > 9"), ["id"]).columns == ["id", "v", "w"]
+
+
+@pytest.mark.parametrize("second", [("b", 2), ("a", None), (None, 2)])
+def test_different_rows_of_a_unique_feature_fail_the_query(frame, second):
+    driver = frame("id int", [(1,), (7,)])
+    feature = frame("fid int, v string, w int", [(1, "a", 2), (7, "a", 2), (7, *second)])
+    wide = account_360(driver, [Feature(feature, [("id", "fid")], unique=True)])  # no action yet
+    with pytest.raises(Exception, match='several rows for one key: {"fid":7}'):
+        wide.select("id").collect()  # also where no column of the feature is read
+    assert account_360(driver, [Feature(feature, [("id", "fid")])]).count() == 3
+    same = account_360(driver, [Feature(feature, [("id", "fid")], ["fid"], flag="has", unique=True)])
+    assert same.count() == 2  # the columns that are asked for do not differ
+
+
+def test_wide_instances_need_no_distinct(spark):
+    from checks import REGISTRY
+
+    text = REGISTRY["account_360_full"][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    wide = [line for line in text.splitlines() if "Aggregate [" in line and "support_pql_score" in line and "guide_num_hc" in line]
+    assert wide == []
 
 
 def test_coalesce_sources_per_field(frame):

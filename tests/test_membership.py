@@ -6,12 +6,16 @@ from pyspark.sql import functions as F
 from tests.conftest import rows_of
 
 from wintide.operators import (
+    Flag,
     exclude_members_unless,
     flagged_accounts,
+    flags_of_set,
     is_member,
     lookup,
     lookup_many,
+    may_hold,
     membership_flag,
+    on_days,
     semi_filter,
 )
 
@@ -52,6 +56,48 @@ def test_flags_in_both_polarities(frame, probe, name):
     assert rows_of(out) == expected
 
 
+@pytest.mark.parametrize("name", SETS)
+def test_both_polarities_by_one_join(frame, probe, name):
+    keys = frame("m int", SETS[name])
+    out = flags_of_set(probe, keys, ("k", "m"), [Flag("a", "y", "n"), Flag("b", "y", "n", negate=True)])
+    apart = membership_flag(membership_flag(probe, keys, ("k", "m"), "a", "y", "n"), keys, ("k", "m"), "b", "y", "n", negate=True)
+    assert rows_of(out) == rows_of(apart)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+@pytest.mark.parametrize("words", [1, 64, 1 << 12])
+def test_may_hold_loses_no_member(spark, frame, words):
+    """However small the filter; with room, few others pass."""
+    df = spark.range(20_000).select("id", (F.col("id") % 7).cast("string").alias("day"))
+    keys = df.filter("id % 100 = 0").select("id", "day")
+    passed = may_hold(df, keys, ["id", "day"], words)
+    assert passed.filter("id % 100 = 0").count() == 200
+    others = passed.filter("id % 100 <> 0").count()
+    assert others < 100 if words == 1 << 12 else others > 0
+    assert may_hold(df, keys.filter("id < 0"), ["id", "day"], words).count() == 0
+    nulls = frame("id bigint, day string", [(1, None), (None, None)])
+    assert may_hold(nulls, nulls, ["id", "day"], 64).count() == 2
+    for ddl in ("id int, day string", "id double, day string"):
+        with pytest.raises(ValueError, match="one type"):
+            may_hold(frame(ddl, []), keys, ["id", "day"], words)
+
+
+def test_days_are_cut_below_the_shuffle(spark):
+    """With nothing to broadcast: the filter stands in the scan's stage, the exact join above the shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = spark.range(30_000).select((F.col("id") % 500).alias("k"), (F.col("id") % 60).alias("day"), "id")
+        wanted = lines.groupBy("k").agg(F.min("day").alias("day")).filter("k % 10 > 0")
+        plain = on_days(lines, wanted, ["k", "day"], "day")
+        filtered = on_days(lines, wanted, ["k", "day"], "day", filter_words=1 << 10)
+        assert rows_of(filtered, "id") == rows_of(plain, "id") and plain.count() > 450
+        text = filtered._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        above = text[: text.index("getbit")]
+        assert "Exchange" in above and above.count("SortMergeJoin") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_semi_filter_keeps_row_count(frame, probe):
     keys = frame("m int", [(1,), (1,), (3,), (None,)])
     assert rows_of(semi_filter(probe, keys, [("k", "m")])) == [(1,), (3,)]

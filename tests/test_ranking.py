@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import random
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from tests.conftest import rows_of
@@ -92,8 +92,8 @@ def brute_quota(rows, quotas, short):
 
 
 @pytest.mark.parametrize("short", ["none", "all"])
-@pytest.mark.parametrize("splits", [1, 4, 64])
-def test_quota_cut_against_brute_force(frame, short, splits):
+@pytest.mark.parametrize("splits, few", [(2, 1), (3, 4), (64, 5), (256, 4096)])
+def test_quota_cut_against_brute_force(frame, short, splits, few):
     rng = random.Random(3)
     rows = []
     for i in range(400):
@@ -102,7 +102,7 @@ def test_quota_cut_against_brute_force(frame, short, splits):
     exact = len([r for r in rows if r[1] == "exact"])
     quotas = {"big": 25, "exact": exact, "small": 10_000}
     df = frame("id int, region string, r int", rows + rows[:50])  # repeated rows count once
-    out = quota_cut(df, "region", "r", quotas, ["id"], short, splits)
+    out = quota_cut(df, "region", "r", quotas, ["id"], short, splits, few)
     assert rows_of(out.distinct(), "id", "region", "r") == sorted(
         brute_quota(rows, quotas, short), key=lambda r: [(False, str(v)) for v in r]
     )
@@ -125,8 +125,30 @@ def test_quota_cut_counts_null_ranks_first(frame):
     assert quota_cut(df, "region", "r", {"x": 1}, ["id"]).count() == 0
 
 
+@pytest.mark.parametrize("quota", [1, 2, 37, 500, 999, 1000])
+def test_quota_cut_narrows_until_few_ranks_are_left(frame, quota):
+    """A crowded middle: most ranks lie in a sliver of the whole range, and dates are ranks too."""
+    days = [date(1970, 1, 1), *(date(2020, 1, 1) + timedelta(days=n // 3) for n in range(998)), date(9999, 12, 31)]
+    df = frame("id int, region string, r date", [(i, "x", d) for i, d in enumerate(days)])
+    cut = sorted(days)[quota - 1]
+    assert quota_cut(df, "region", "r", {"x": quota}, ["id"], splits=2, few=2).count() == len([d for d in days if d <= cut])
+
+
+def test_quota_cut_of_nothing(frame):
+    df = frame("id int, region string, r int", [])
+    assert quota_cut(df, "region", "r", {"x": 1}, ["id"], short="all").count() == 0
+
+
+def test_quota_cut_neither_ranks_nor_joins(frame):
+    df = frame("id int, region string, r int", [(i, "x", i) for i in range(50)])
+    text = quota_cut(df, "region", "r", {"x": 9}, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "Join" not in text and "Exchange" not in text
+
+
 def test_quota_cut_checks_arguments(frame):
     df = frame("id int, region string, r int", [(1, "x", 1)])
+    with pytest.raises(ValueError, match="splits"):
+        quota_cut(df, "region", "r", {"x": 1}, ["id"], splits=1)
     with pytest.raises(ValueError, match="short"):
         quota_cut(df, "region", "r", {"x": 1}, ["id"], short="some")
     with pytest.raises(ValueError, match="quota"):

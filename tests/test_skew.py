@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -80,8 +82,8 @@ def test_quota_cut_over_two_regions(skewed, plain):
     assert rows_of(out, "id") == expected(plain, sql)
 
 
-@pytest.mark.parametrize("slice_months", [None, 1])
-def test_as_of_with_a_long_history_on_the_hot_key(spark, skewed, plain, slice_months):
+@pytest.mark.parametrize("split", [{}, {"slice_months": 1}, {"per_range": 8}])
+def test_as_of_with_a_long_history_on_the_hot_key(spark, skewed, plain, split):
     n = F.col("id").cast("int")
     start = F.date_add(F.lit("2019-12-01").cast("date"), n)
     history = spark.range(360).select(
@@ -91,7 +93,7 @@ def test_as_of_with_a_long_history_on_the_hot_key(spark, skewed, plain, slice_mo
         F.date_add(start, 1).cast("timestamp").alias("dw_eff_end"),
     )
     out = scd2_as_of(
-        skewed.select("id", "k", "d"), history, [("k", "key")], F.col("d").cast("timestamp"), slice_months=slice_months
+        skewed.select("id", "k", "d"), history, [("k", "key")], F.col("d").cast("timestamp"), **split
     )
     got = out.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("version").alias("v")).filter("k = 0")
     sql = """SELECT count(*), CAST(sum(version) AS BIGINT) FROM skewed JOIN range(360) v(version)
@@ -99,6 +101,17 @@ def test_as_of_with_a_long_history_on_the_hot_key(spark, skewed, plain, slice_mo
     assert rows_of(got, "n", "v") == expected(plain, sql)
 
 
+def test_ranges_spread_the_hot_key(spark, skewed, eager_skew_split):
+    """No task joins a large part of the hot key's pairs: the range is part of the shuffle's key."""
+    n = F.col("id").cast("int")
+    day = F.date_add(F.lit("2019-12-01").cast("date"), n).cast("timestamp")
+    history = spark.range(360).select((F.col("id") % 2).alias("key"), day.alias("dw_eff_start"), day.alias("dw_eff_end"), n.alias("v"))
+    at = F.col("d").cast("timestamp")
+    out = scd2_as_of(skewed.select("id", "k", "d"), history, [("k", "key")], at, per_range=8)
+    text = final_plan(out)
+    assert re.search(r"hashpartitioning\([^)]*__range#\d+", text) and re.search(r"hashpartitioning\([^)]*__s#\d+", text)
+
+
 def test_hot_right_side(spark, skewed, plain):
     keys = spark.range(1000).select(F.col("id").alias("key"))
     out = lookup_many(keys, skewed.select("k", "id"), [("key", "k")])

@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 from tests.conftest import rows_of
 
-from wintide.sources import SCHEMAS, TableSet, parse_schema, read_table, stage, write_table
+from checks import REGISTRY
+from wintide.sources import SCHEMAS, TableSet, attach_database, parse_schema, read_table, stage, write_table
 
 
 def test_all_schemas_parse(spark):
@@ -58,3 +59,41 @@ def test_stage_without_shared_folder_raises(frame, monkeypatch):
     monkeypatch.setattr("wintide.sources.tables.staging_folder", lambda spark: None)
     with pytest.raises(ValueError, match="shared folder"):
         stage(frame("id int", [(1,)]), "x")
+
+
+def test_overwriting_partitions_leaves_the_others(frame, spark, tmp_path):
+    path = f"{tmp_path}/by_day"
+    write_table(frame("id int, d string", [(1, "x"), (2, "y"), (3, "y")]), path, partition_by=["d"])
+    write_table(frame("id int, d string", [(9, "y"), (8, "z")]), path, partition_by=["d"], mode="overwrite_partitions")
+    assert rows_of(read_table(spark, path), "id", "d") == [(1, "x"), (8, "z"), (9, "y")]
+    write_table(frame("id int, d string", []), path, partition_by=["d"], mode="overwrite_partitions")
+    assert read_table(spark, path).count() == 3
+    with pytest.raises(ValueError, match="partitions"):
+        write_table(frame("id int", [(1,)]), path, mode="overwrite_partitions")
+
+
+def test_a_bucket_is_one_file(frame, spark, tmp_path):
+    df = frame("id int, v string", [(i, str(i)) for i in range(200)]).repartition(7)
+    write_table(df, "bucketed_files", as_table=True, bucket_by=(3, ["id"]), location=f"{tmp_path}/bucketed")
+    assert len(list((tmp_path / "bucketed").glob("part-*.parquet"))) == 3
+    assert read_table(spark, "bucketed_files").count() == 200
+
+
+def test_stored_reports_join_without_a_shuffle(spark):
+    text = REGISTRY["stored_reports_joined"][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_a_report_over_two_databases(frame, spark, tmp_path):
+    for place, value in (("one", 1), ("two", 2)):
+        write_table(frame("id int, v int", [(7, value)]), f"{tmp_path}/{place}/facts.parquet")
+    names = {}
+    for place in ("one", "two"):
+        found = attach_database(spark, f"db_{place}", {"facts": f"{tmp_path}/{place}/facts.parquet"}, f"{tmp_path}/{place}/db")
+        assert found == {"facts": f"db_{place}.facts"}
+        names[f"{place}_facts"] = found["facts"]
+    again = attach_database(spark, "db_one", {"facts": f"{tmp_path}/two/facts.parquet"})
+    assert again == {"facts": "db_one.facts"}
+    tables = TableSet(spark, names=names)
+    joined = tables["one_facts"].join(tables["two_facts"], "id")
+    assert [tuple(r) for r in joined.collect()] == [(7, 1, 2)]

@@ -53,10 +53,10 @@ def facts(frame):
     )
 
 
-@pytest.mark.parametrize("slice_months", [None, 1, 6])
-def test_scd2_as_of_edges(facts, versions, slice_months):
+@pytest.mark.parametrize("split", [{}, {"slice_months": 1}, {"slice_months": 6}, {"per_range": 1}])
+def test_scd2_as_of_edges(facts, versions, split):
     at = as_of_instant("d", date(2018, 2, 1))
-    out = scd2_as_of(facts, versions, [("k", "id")], at, slice_months=slice_months)
+    out = scd2_as_of(facts, versions, [("k", "id")], at, **split)
     assert out.columns == ["k", "d", "name"]
     assert rows_of(out, "k", F.col("d").cast("string"), "name") == sorted(
         [
@@ -73,8 +73,10 @@ def test_scd2_as_of_edges(facts, versions, slice_months):
     )
 
 
-@pytest.mark.parametrize("slice_months", [None, 1, 5, 12])
-def test_scd2_as_of_against_brute_force(frame, slice_months):
+@pytest.mark.parametrize(
+    "split", [{}, *({"slice_months": n} for n in (1, 5, 12)), *({"per_range": n} for n in (1, 3, 20))]
+)
+def test_scd2_as_of_against_brute_force(frame, split):
     rng = random.Random(7)
     start = datetime(2015, 1, 1)
     dims, probes = [], []
@@ -90,7 +92,7 @@ def test_scd2_as_of_against_brute_force(frame, slice_months):
         frame(DIM, dims),
         [("k", "id")],
         as_of_instant("d", None),
-        slice_months=slice_months,
+        **split,
     )
     expected = []
     for n, k, d in probes:
@@ -100,6 +102,24 @@ def test_scd2_as_of_against_brute_force(frame, slice_months):
     assert rows_of(out, "n", "name") == sorted(expected, key=lambda r: [(v is None, str(v)) for v in r])
 
 
+def test_scd2_as_of_by_range_with_odd_versions(frame):
+    """Open starts and ends, ends before starts, repeated versions and null keys, as in the plain form."""
+    day = [ts(f"2018-01-{n:02d}") for n in range(1, 29)]
+    dims = [("a", f"v{n}", day[n], day[min(n + n % 4, 27)]) for n in range(27)]
+    dims += [("a", "same", day[3], day[9])] * 3
+    dims += [("a", "back", day[9], day[3]), ("a", "no end", day[5], None), ("a", "no start", None, day[5]), (None, "lost", day[0], day[9])]
+    probes = [(n, k, d.date()) for n, d in enumerate(day) for k in ("a", "b", None)] + [(99, "a", None)]
+    facts, versions, at = frame("n int, k string, d date", probes), frame(DIM, dims), F.col("d").cast("timestamp")
+    for how in ("left", "inner"):
+        plain, ranged = (
+            rows_of(scd2_as_of(facts, versions, [("k", "id")], at, how=how, **split), "n", "k", "name")
+            for split in ({}, {"per_range": 2})
+        )
+        assert ranged == plain and len(plain) > len(probes) / 3
+    with pytest.raises(ValueError, match="either"):
+        scd2_as_of(facts, versions, [("k", "id")], at, slice_months=1, per_range=1)
+
+
 def test_current_rows(frame):
     dim = frame("id int, dw_curr_ind string, isdeleted string", [(1, "Y", "False"), (2, "N", "False"), (3, "Y", "True"), (4, None, "False")])
     assert rows_of(current_rows(dim), "id") == [(1,), (3,)]

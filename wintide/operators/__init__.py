@@ -3,7 +3,7 @@ from wintide.operators.assemble import (
     Feature,
     account_360,
     coalesce_sources,
-    duplicate_keys,
+    one_per_key,
     owner_chain,
 )
 from wintide.operators.cohort import (
@@ -15,9 +15,12 @@ from wintide.operators.cohort import (
     tenure_windows,
 )
 from wintide.operators.membership import (
+    Flag,
     exclude_members_unless,
     flagged_accounts,
+    flags_of_set,
     is_member,
+    may_hold,
     membership_flag,
     on_days,
     semi_filter,
@@ -49,6 +52,7 @@ from wintide.operators.temporal import (
 
 __all__ = [
     "Feature",
+    "Flag",
     "account_360",
     "any_like",
     "as_of_instant",
@@ -57,11 +61,11 @@ __all__ = [
     "cohort_rollup",
     "current_rows",
     "dominant_value",
-    "duplicate_keys",
     "edge_events",
     "engagement_score",
     "exclude_members_unless",
     "flagged_accounts",
+    "flags_of_set",
     "funnel_durations",
     "funnel_rollup",
     "is_member",
@@ -69,10 +73,13 @@ __all__ = [
     "latest_snapshot",
     "lookup",
     "lookup_many",
+    "may_hold",
     "membership_flag",
     "milestones",
     "month_offsets",
     "more_than",
+    "on_days",
+    "one_per_key",
     "only",
     "owner_chain",
     "preaggregate_join",
@@ -80,7 +87,6 @@ __all__ = [
     "quota_cut",
     "reporting_dates",
     "scd2_as_of",
-    "on_days",
     "semi_filter",
     "set_label",
     "snapshot_join",

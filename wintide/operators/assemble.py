@@ -15,12 +15,16 @@ from wintide.operators.temporal import current_rows, scd2_as_of
 
 @dataclass(frozen=True)
 class Feature:
-    """One table to attach: its frame, the join keys and an optional '1'/'0' presence column."""
+    """One table to attach: its frame, the join keys and an optional '1'/'0' presence column.
+
+    ``unique`` states that the table has one row per key. The plan then holds it to that: see ``one_per_key``.
+    """
 
     df: DataFrame
     on: Keys
     columns: Sequence[str] | None = None
     flag: str | None = None
+    unique: bool = False
 
 
 def account_360(driver: DataFrame, features: Sequence[Feature]) -> DataFrame:
@@ -28,9 +32,10 @@ def account_360(driver: DataFrame, features: Sequence[Feature]) -> DataFrame:
 
     Features are joined key by key (in order of first use), so the driver is shuffled once per
     distinct key and not once per change of key; columns come out in the order of ``features``. A
-    feature with several rows per key repeats the driver row, as a left join does; use
-    ``duplicate_keys`` to check a feature that must be unique. Give the driver one row per account:
-    rows of a hot driver key stay together through the whole chain.
+    feature with several rows per key repeats the driver row, as a left join does, unless it is stated to
+    be ``unique``: then different rows under one key make the query fail. Give the driver one row per
+    account: rows of a hot driver key stay together through the whole chain. If the driver's rows are
+    distinct and every feature is unique or distinct, so is the result, without a distinct over its width.
     """
     by_key: dict[tuple[str, ...], list[Feature]] = {}
     for feature in features:
@@ -41,7 +46,11 @@ def account_360(driver: DataFrame, features: Sequence[Feature]) -> DataFrame:
         wanted: list[str | Column] = list(_feature_columns(feature))
         if feature.flag is not None:
             wanted.append(F.lit(True).alias("__hit"))
-        out = lookup(out, feature.df, feature.on, wanted)
+        right = feature.df
+        if feature.unique:
+            right_keys = [r for _, r in key_pairs(feature.on)]
+            right = one_per_key(right.select(*right_keys, *_feature_columns(feature)), right_keys)
+        out = lookup(out, right, feature.on, wanted)
         if feature.flag is not None:
             out = out.withColumn(feature.flag, presence_flag(F.col("__hit"))).drop("__hit")
     added = []
@@ -57,9 +66,24 @@ def _feature_columns(feature: Feature) -> Sequence[str]:
     return [c for c in feature.df.columns if c not in right_keys]
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their row count; empty for a unique feature."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The one row of each key; two different rows under one key fail the query that reads them.
+
+    The check is part of the plan, not an action: one aggregate by key gives the least and the greatest
+    row, and a filter raises where they differ, naming the key. Repeats of the same row become one,
+    and combine before the shuffle, which the following join on the key uses too. Rows with a NULL in
+    the key are left out, as nothing joins to them. Columns are of types that can be ordered (no maps).
+    """
+    others = [c for c in df.columns if c not in keys]
+    known = df.dropna(subset=list(keys))
+    if not others:
+        return known.distinct()
+    row = F.struct(*others)
+    both = known.groupBy(*keys).agg(F.min(row).alias("__least"), F.max(row).alias("__most"))
+    key = F.to_json(F.struct(*keys))
+    problem = F.raise_error(F.concat(F.lit("several rows for one key: "), key))
+    held = both.filter(F.when(F.col("__least").eqNullSafe(F.col("__most")), True).otherwise(problem.cast("boolean")))
+    return held.select(*[F.col(c) if c in keys else F.col(f"__least.{c}") for c in df.columns])
 
 
 def coalesce_sources(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wintide.operators._join import lookup
+from wintide.sources.tables import stage, staging_folder
 
 
 def latest_per_key(
@@ -85,6 +86,9 @@ def dominant_value(
     return per_value.groupBy(*keys).agg(best.alias(name))
 
 
+FEW_RANKS = 4_096
+
+
 def quota_cut(
     df: DataFrame,
     region: str,
@@ -93,6 +97,7 @@ def quota_cut(
     identity: Sequence[str],
     short: str = "none",
     splits: int = 256,
+    few: int = FEW_RANKS,
 ) -> DataFrame:
     """Rows of each region whose rank value is at most the value at the region's quota position.
 
@@ -100,55 +105,117 @@ def quota_cut(
     with fewer rows than its quota gives nothing (``short="none"``) or all its rows ("all");
     regions without a quota give nothing.
 
-    A region is never ranked in one task: equal ranks are counted first, approximate percentiles of
-    the rank split each region into ``splits`` ranges, and the small table of their counts tells which
-    range holds the position. Only that range is ranked, so the cost does not depend on the quota.
-    How the ranges fall changes the work, never the cut. Ranks are numbers, dates or timestamps.
+    Nothing is ranked: equal ranks are counted once, and the interval that holds the position is
+    narrowed by counting. Approximate percentiles split it into ``splits`` ranges, their exact counts
+    tell which one holds the position, and so on until at most ``few`` different ranks are left; those
+    are added up on the driver. How the ranges fall changes the work, never the cut, and the cost does
+    not depend on the quota. The cuts are then literals in a filter over ``df``.
+
+    The counts are found when this is called, by a few small jobs over a staged table of (region,
+    rank, count); without a shared folder each job counts afresh. The driver sees at most ``splits``
+    or ``few`` rows per quota. Ranks are numbers, dates or timestamps.
     """
     if short not in ("none", "all"):
         raise ValueError(f"unknown short {short!r}")
     if not quotas:
         raise ValueError("at least one quota is needed")
-    quota: Column | None = None
-    for name, n in quotas.items():
-        hit = F.col(region) == name
-        quota = F.when(hit, F.lit(n)) if quota is None else quota.when(hit, F.lit(n))
+    if splits < 2 or few < 1:
+        raise ValueError("narrowing needs two splits and one rank")
     in_scope = df.filter(F.col(region).isin(*quotas))
     counted = (
-        in_scope.select(*identity, region, rank)
+        in_scope.select(*identity, F.col(region).alias("__region"), F.col(rank).alias("__rank"))
         .distinct()
-        .groupBy(region, rank)
+        .groupBy("__region", "__rank")
         .agg(F.count(F.lit(1)).alias("__n"))
+        .select(F.col("__region").alias("region"), F.col("__rank").alias("rank"), F.col("__n").alias("n"))
     )
-    shares = F.array(*[F.lit(k / splits) for k in range(1, splits + 1)])
-    edges = counted.groupBy(region).agg(F.percentile_approx(rank, shares).alias("__edges"))
-    # The broadcast sides here have at most one row per quota given in the call.
-    ranged = counted.join(F.broadcast(edges), region).select(
-        region,
-        rank,
-        "__n",
-        F.coalesce(F.size(F.filter("__edges", lambda e: e < F.col(rank))), F.lit(0)).alias("__range"),
-    )
-    totals = ranged.groupBy(region, "__range").agg(F.sum("__n").alias("__in_range"))
-    in_order = Window.partitionBy(region).orderBy("__range")
-    holding = (
-        totals.withColumn("__upto", F.sum("__in_range").over(in_order))
-        .withColumn("__before", F.col("__upto") - F.col("__in_range"))
-        .filter((F.col("__before") < quota) & (F.col("__upto") >= quota))
-        .select(region, "__range", "__before")
+    if staging_folder(df.sparkSession):
+        counted = stage(counted, "quota_cut")
+    cuts = _cuts(counted, quotas, splits, few)
+    keep = F.lit(False)
+    for name, (reached, cut) in cuts.items():
+        mine = F.col(region) == name
+        if not reached:
+            keep = keep | (mine if short == "all" else F.lit(False))
+        elif cut is not None:
+            keep = keep | (mine & (F.col(rank) <= F.lit(cut)))
+    if short == "all":
+        for name in quotas.keys() - cuts.keys():
+            keep = keep | (F.col(region) == name)
+    return in_scope.filter(keep)
+
+
+def _cuts(counted: DataFrame, quotas: Mapping[str, int], splits: int, few: int) -> dict[str, tuple[bool, object]]:
+    """Whether each region reaches its quota, and the rank there; NULL ranks come first."""
+    sizes = counted.groupBy("region").agg(
+        F.sum("n").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("rank").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+        F.count("rank").alias("ranks"),
+        F.max("rank").alias("top"),
     )
-    running = Window.partitionBy(region).orderBy(F.asc_nulls_first(rank))
-    reached = (
-        ranged.join(F.broadcast(holding), [region, "__range"])
-        .withColumn("__upto", F.col("__before") + F.sum("__n").over(running))
-        .filter(F.col("__upto") >= quota)
+    cuts: dict[str, tuple[bool, object]] = {}
+    # per region: position within the interval, its ends (the lower one left out) and its different ranks
+    open_: dict[str, tuple[int, object, object, int]] = {}
+    for row in sizes.collect():
+        quota = quotas[row["region"]]
+        cuts[row["region"]] = (row["n"] >= quota, None)
+        if row["n"] >= quota > row["nulls"]:
+            open_[row["region"]] = (quota - row["nulls"], None, row["top"], row["ranks"])
+    while open_:
+        small = {name: state for name, state in open_.items() if state[3] <= few}
+        for name, cut in _exact(counted, small).items():
+            cuts[name] = (True, cut)
+        open_ = _narrowed(counted, {n: s for n, s in open_.items() if n not in small}, splits)
+    return cuts
+
+
+def _held(counted: DataFrame, states: Mapping[str, tuple]) -> DataFrame:
+    """Counts within the open interval of each region."""
+    within = F.lit(False)
+    for name, (_, low, top, _) in states.items():
+        mine = (F.col("region") == name) & (F.col("rank") <= F.lit(top))
+        within = within | (mine if low is None else mine & (F.col("rank") > F.lit(low)))
+    return counted.filter(within)
+
+
+def _exact(counted: DataFrame, states: Mapping[str, tuple]) -> dict[str, object]:
+    """The rank at the position, of few enough ranks to add up here."""
+    if not states:
+        return {}
+    found: dict[str, object] = {}
+    seen = dict.fromkeys(states, 0)
+    for row in sorted(_held(counted, states).collect(), key=lambda r: (r["region"], r["rank"])):
+        name = row["region"]
+        seen[name] += row["n"]
+        if name not in found and seen[name] >= states[name][0]:
+            found[name] = row["rank"]
+    return found
+
+
+def _narrowed(counted: DataFrame, states: Mapping[str, tuple], splits: int) -> dict[str, tuple[int, object, object, int]]:
+    """The one range of each open interval that holds the position."""
+    if not states:
+        return {}
+    rows = _held(counted, states)
+    shares = F.array(*[F.lit(k / splits) for k in range(1, splits)])
+    ranges = rows.groupBy("region").agg(F.percentile_approx("rank", shares).alias("edges"))
+    # one row for each quota in the call
+    placed = rows.join(F.broadcast(ranges), "region").withColumn(
+        "range", F.size(F.filter("edges", lambda e: e < F.col("rank")))
     )
-    cuts = reached.groupBy(region).agg(
-        F.min_by(rank, "__upto").alias("__cut"), F.count(F.lit(1)).alias("__reached")
+    counts = placed.groupBy("region", "range").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("ranks"), F.max("rank").alias("top")
     )
-    how = "left" if short == "all" else "inner"
-    passed = in_scope.join(F.broadcast(cuts), region, how)
-    keep = F.col(rank) <= F.col("__cut")
-    if short == "all":
-        keep = keep | F.col("__reached").isNull()
-    return passed.filter(keep).select(*df.columns)
+    out: dict[str, tuple[int, object, object, int]] = {}
+    left = {name: state[0] for name, state in states.items()}
+    low = {name: state[1] for name, state in states.items()}
+    for row in sorted(counts.collect(), key=lambda r: (r["region"], r["range"])):
+        name = row["region"]
+        if name in out:
+            continue
+        if row["n"] >= left[name]:
+            out[name] = (left[name], low[name], row["top"], row["ranks"])
+        else:
+            left[name] -= row["n"]
+            low[name] = row["top"]
+    return out

@@ -33,6 +33,43 @@ def _slice_of(instant: Column, months: int) -> Column:
     return F.floor((F.year(instant) * 12 + F.month(instant)) / F.lit(months))
 
 
+EDGES, COARSE = 1_024, 32
+
+
+def _version_ranges(dim: DataFrame, keys: Sequence[str], per_range: int) -> DataFrame:
+    """Ranges of the keys with more than ``per_range`` versions: where each begins, and every 32nd of those.
+
+    Counted first, so that percentiles are kept for long histories only; there are few of them, often none.
+    """
+    counted = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > per_range)
+    long = dim.select(*keys, "__from").join(counted, list(keys))
+    shares = F.array(*[F.lit(n / EDGES) for n in range(1, EDGES)])
+    edges = long.groupBy(*keys).agg(
+        F.percentile_approx("__from", shares).alias("__starts"), F.max("__n").alias("__n")
+    )
+    step = F.greatest(F.lit(1), F.floor(F.lit(EDGES * per_range) / F.col("__n")))
+    wanted = F.array_distinct(F.filter("__starts", lambda _, at: (at + 1) % step == 0))
+    each = F.filter("__edges", lambda _, at: (at + 1) % COARSE == 0).alias("__coarse")
+    return edges.select(*keys, wanted.alias("__edges")).select(*keys, "__edges", each)
+
+
+def _with_ranges(df: DataFrame, keys: Sequence[str], ranges: DataFrame, names: Sequence[str]) -> DataFrame:
+    held = ranges.select(*[F.col(n).alias(f"__r{i}") for i, n in enumerate(names)], "__edges", "__coarse")
+    same = [F.col(k) == F.col(f"__r{i}") for i, k in enumerate(keys)]
+    return df.join(held, same, "left").drop(*[f"__r{i}" for i in range(len(names))])
+
+
+def _range_at(instant: Column) -> Column:
+    """How many ranges of its key begin up to an instant; 0 for a key without ranges."""
+
+    def upto(begins: Column) -> Column:
+        return F.size(F.filter(begins, lambda e: e <= instant))
+
+    whole = upto(F.col("__coarse")) * COARSE
+    inside = upto(F.slice("__edges", whole + 1, F.lit(COARSE)))
+    return F.when(F.col("__edges").isNull(), 0).otherwise(whole + inside)
+
+
 def scd2_as_of(
     facts: DataFrame,
     dim: DataFrame,
@@ -44,6 +81,7 @@ def scd2_as_of(
     how: str = "left",
     slice_months: int | None = None,
     reach_of: DataFrame | None = None,
+    per_range: int | None = None,
 ) -> DataFrame:
     """Dimension version valid at ``at``; both interval ends count, so touching versions both match.
 
@@ -54,7 +92,15 @@ def scd2_as_of(
     an instant in exactly one slice, so both forms give the same rows. The time range is a scalar
     sub-query over ``reach_of``, a frame that covers all instants (default: the facts; pass the
     narrow base table when the facts are already a long plan).
+
+    ``per_range`` needs no width: a key with more versions than that is dealt over ranges of time that
+    begin at percentiles of its own versions' starts (up to 1,024 ranges a key). A version that is open
+    when a range begins is carried into it, and the range joins the hash key. So no fact meets all
+    versions of a long history, whether they are spread evenly or crowd in one month; keys with few
+    versions are joined as in the plain form. The dimension is read once more, to count.
     """
+    if slice_months is not None and per_range is not None:
+        raise ValueError("either slices or ranges")
     pairs = key_pairs(on)
     right_keys = [r for _, r in pairs]
     if columns is None:
@@ -89,7 +135,17 @@ def scd2_as_of(
             .drop("__reach", "__lo", "__hi")
         )
         condition = (F.col("__slice") == F.col("__s")) & condition
-    helper = [f"__k{i}" for i in range(len(pairs))] + ["__from", "__to", "__at", "__slice", "__s"]
+    if per_range is not None:
+        names = [f"__k{i}" for i in range(len(pairs))]
+        ranges = _version_ranges(right, names, per_range)
+        probe = _with_ranges(probe, [left for left, _ in pairs], ranges, names)
+        probe = probe.withColumn("__range", _range_at(F.col("__at"))).drop("__edges", "__coarse")
+        right = _with_ranges(right.filter(F.col("__from") <= F.col("__to")), names, ranges, names)
+        spanned = F.sequence(_range_at(F.col("__from")), _range_at(F.col("__to")))
+        right = right.withColumn("__s", F.explode(spanned)).drop("__edges", "__coarse")
+        condition = (F.col("__range") == F.col("__s")) & condition
+    helper = [f"__k{i}" for i in range(len(pairs))]
+    helper += ["__from", "__to", "__at", "__slice", "__range", "__s"]
     return probe.join(right, condition, how).drop(*helper)
 
 

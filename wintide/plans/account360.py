@@ -331,21 +331,22 @@ def account_360_report(t: Tables, as_of: Column, trial_from: date) -> DataFrame:
     )
     features = [
         Feature(crm_profiles(t), [("sfdc_crm_id", "id")]),
-        Feature(t["product_scores"].select(key, F.col("score").alias("support_pql_score")), key),
-        Feature(staff_counts(t).drop("agent_to_admin_ratio"), key),
-        Feature(_renamed(t["answer_bot"], ANSWER_BOT, key), key),
-        Feature(_renamed(t["explore"], EXPLORE, key, "run_at"), at_run, flag="explore_product_flag"),
-        Feature(usage_metrics(t), key, USAGE),
+        Feature(t["product_scores"].select(key, F.col("score").alias("support_pql_score")), key, unique=True),
+        Feature(staff_counts(t).drop("agent_to_admin_ratio"), key, unique=True),
+        Feature(_renamed(t["answer_bot"], ANSWER_BOT, key), key, unique=True),
+        Feature(_renamed(t["explore"], EXPLORE, key, "run_at"), at_run, flag="explore_product_flag", unique=True),
+        Feature(usage_metrics(t), key, USAGE, unique=True),
         Feature(chat, [(key, "instance_id")], flag="chat_product_flag"),
-        Feature(guide, key, flag="guide_product_flag"),
-        Feature(voice, at_run, flag="talk_product_flag"),
+        Feature(guide, key, flag="guide_product_flag", unique=True),
+        Feature(voice, at_run, flag="talk_product_flag", unique=True),
         Feature(captured, at_run),
-        Feature(plan_shift(t), key),
-        Feature(churn_risk(t), [("sfdc_crm_id", "crm_account_id")]),
+        Feature(plan_shift(t), key, unique=True),
+        Feature(churn_risk(t), [("sfdc_crm_id", "crm_account_id")], unique=True),
     ]
+    # instances, profiles and chat accounts are distinct, the rest is unique: so is the wide row
     wide = account_360(eligible_instances(t, as_of, trial_from), features)
     capture_flag = F.when(F.col("__captures") > 0, 1).otherwise(0)
-    wide = wide.withColumn("guide_knowledge_capture_flag", capture_flag).drop("__captures").distinct()
+    wide = wide.withColumn("guide_knowledge_capture_flag", capture_flag).drop("__captures")
     return per_admin(lookup(wide, admins(t), AT_LATEST_RUN, how="inner")).orderBy(*SORT_KEYS)
 
 

@@ -79,42 +79,79 @@ def write_table(
     mode: str = "overwrite",
     as_table: bool = False,
     bucket_by: tuple[int, Sequence[str]] | None = None,
+    location: str | None = None,
 ) -> None:
     """Store a report, as files at a path or as a catalog table.
 
     ``bucket_by`` (catalog tables only) lays rows out by the report key, so the next report joins
-    on it without a shuffle.
+    on it without a shuffle. Rows are dealt by the same hash before they are written, so that a task
+    writes one bucket and not a file for each. ``location`` puts a table's files outside the
+    warehouse. ``mode="overwrite_partitions"`` (files with ``partition_by``) replaces the partitions
+    that ``df`` has rows for and leaves the others; nothing is replaced by an empty frame.
     """
-    writer = df.write.mode(mode).format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if mode == "overwrite_partitions" and (not partition_by or as_table):
+        raise ValueError("partitions are overwritten in files laid out by partition_by")
     if bucket_by is not None:
         if not as_table:
             raise ValueError("bucketing needs a catalog table")
         count, columns = bucket_by
+        df = df.repartition(count, *columns)
+    writer = df.write.format("parquet")
+    if mode == "overwrite_partitions":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if bucket_by is not None:
         writer = writer.bucketBy(count, *columns).sortBy(*columns)
+    if location is not None:
+        writer = writer.option("path", location)
     if as_table:
         writer.saveAsTable(target)
     else:
         writer.save(target)
 
 
+def attach_database(
+    spark: SparkSession, database: str, paths: Mapping[str, str], location: str | None = None
+) -> dict[str, str]:
+    """A database whose tables are the given Parquet files or folders; returns logical -> full names.
+
+    The result is what ``TableSet(names=...)`` takes, so that a report whose tables live in several
+    databases finds each by its own name; several results are merged. Only the catalog is written:
+    data stays where it is. A table that is already there is left as it is.
+    """
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
+    names = {}
+    for table, path in paths.items():
+        names[table] = f"{database}.{table}"
+        if not spark.catalog.tableExists(names[table]):
+            spark.catalog.createTable(names[table], path, "parquet")
+    return names
+
+
 def staging_folder(spark: SparkSession) -> str | None:
     """The shared folder the cluster names, else the context's own checkpoint folder, if any."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     return named or spark.sparkContext.getCheckpointDir()
 
 
+def fresh_place(spark: SparkSession, name: str) -> str:
+    """A path of its own under the shared checkpoint folder; raises where there is none."""
+    folder = staging_folder(spark)
+    if not folder:
+        raise ValueError("staging needs a shared folder: set spark.checkpoint.dir")
+    return os.path.join(folder, "staged", f"{name}-{uuid.uuid4().hex}")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate to the shared checkpoint folder and read it back.
 
     Cuts the lineage at a table every executor can reach, so lost executors cost a re-read and not
     a recomputation. Without a checkpoint folder there is nowhere to write, and it raises.
     """
-    spark = df.sparkSession
-    folder = staging_folder(spark)
-    if not folder:
-        raise ValueError("staging needs a shared folder: set spark.checkpoint.dir")
-    path = os.path.join(folder, "staged", f"{name}-{uuid.uuid4().hex}")
+    path = fresh_place(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
