@@ -136,6 +136,37 @@ def test_smb_accounts_today(smb):
     assert (a["employee_segment_rollup"], a["age_days"], a["age_months"]) == ("SMB", 1096, 36)
 
 
+def scans_of_revenue(report, t, spark, path) -> int:
+    """How often the report's plan reads the revenue lines, the only input that is stored in files."""
+    t["revenue_lines"].write.parquet(path)
+    stored = t.replaced(revenue_lines=spark.read.parquet(path))
+    text = report(stored)._jdf.queryExecution().optimizedPlan().toString()
+    return len([line for line in text.splitlines() if "Relation [" in line and "parquet" in line])
+
+
+def test_reports_share_their_reads_of_revenue(smb, midmarket, spark, tmp_path):
+    assert scans_of_revenue(lambda t: today_of(t)[0], smb, spark, f"{tmp_path}/smb") <= 4
+    assert scans_of_revenue(plans.accounts_granular, midmarket, spark, f"{tmp_path}/mm") <= 3
+
+
+def test_two_support_lines_give_two_rows(tables):
+    """Each support line has its own plan list, at win and now; without any, the plan is empty."""
+    lines = [
+        line("a", SNAP, "Support", "Elite", 1),
+        line("a", SNAP, "Support", "Team", 1, charge="p2"),
+        line("a", SNAP, "Support Classic", "Team", 1, charge="p3"),
+        line("a", SNAP, "Chat", "Lite", 1, charge="p4"),
+        line("b", SNAP, "Chat", "Lite", 1),
+    ]
+    from wintide.plans.smb import paid_products, product_labels
+
+    t = tables(revenue_lines=lines)
+    got = {r["crm_account_id"]: r for r in product_labels(paid_products(t["revenue_lines"])).collect()}
+    assert got["b"]["support_plans"] == []
+    found = sorted(got["a"]["support_plans"])
+    assert len(found) == 2 and all(found) and "," in "".join(found)
+
+
 def test_smb_chain_keeps_accounts_without_expansion(smb):
     today, yesterday = today_of(smb)
     at_win = plans.accounts_at_win(smb.replaced(smb_accounts=today), yesterday)

@@ -36,7 +36,6 @@ from wintide.operators import (
     scd2_as_of,
     on_days,
     semi_filter,
-    state_at,
     tenure_windows,
     with_calendar,
 )
@@ -108,7 +107,10 @@ def product_states(t: Tables, history_start: date = rules.REVENUE_START) -> Data
     at_win = strict_greatest("win_date", F.lit(history_start))
     last_day = F.coalesce(F.date_sub("churn_date", 1), F.lit(rules.OPEN_END))
     last_active = strict_least("the_date", last_day)
-    days = ages.select("crm_account_id", F.explode(F.array(at_win, last_active)).alias("mrr_date"))
+    # both days of an account as two rows, so that the roll-up is joined once
+    role = F.explode(F.array(*[F.struct(F.lit(n).alias("role"), d.alias("day")) for n, d in (("win", at_win), ("last", last_active))]))
+    roles = ages.withColumn("__role", role).withColumn("__day", F.col("__role.day"))
+    days = roles.select("crm_account_id", F.col("__day").alias("mrr_date"))
     lines = charge_totals(on_days(t["revenue_lines"], days))
     products = product_rollup(lines, current_rows(t["product_dim"]), t["product_plan_matrix"])
     fields = [
@@ -118,10 +120,13 @@ def product_states(t: Tables, history_start: date = rules.REVENUE_START) -> Data
         "paid_agents",
         "paid_support_agents",
     ]
-    won = [F.col(f).alias(f"{f}_at_win") for f in fields]
-    out = state_at(ages, products, "crm_account_id", at_win, "mrr_date", won)
-    out = state_at(out, products, "crm_account_id", last_active, "mrr_date", fields)
-    return out.drop("win_date", "churn_date").distinct()
+    out = lookup(roles, products, ["crm_account_id", ("__day", "mrr_date")], fields)
+    states = [
+        F.max(F.when(F.col("__role.role") == name, F.col(f))).alias(f"{f}{suffix}")
+        for name, suffix in (("win", "_at_win"), ("last", ""))
+        for f in fields
+    ]
+    return out.groupBy(*ages.columns).agg(*states).drop("win_date", "churn_date").distinct()
 
 
 def _agent_band(col: str) -> Column:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from wintide.functions import (
     band,
-    distinct_list,
     elapsed_days,
     elapsed_months31,
     group_values,
@@ -85,7 +84,20 @@ def term_revenue(lines: DataFrame) -> DataFrame:
     return known.groupBy(*ACCOUNT_DAY, term).agg(F.sum("net_mrr_usd").alias("net_mrr_usd"))
 
 
-def customer_types(products: DataFrame) -> DataFrame:
+def product_labels(products: DataFrame) -> DataFrame:
+    """``customer_type`` and ``support_plans`` per account and day, out of one aggregation.
+
+    ``support_plans`` holds the sorted plan groups of each support line: an account with two such lines
+    has two entries, one without any none. Sets hold catalogue values only.
+    """
+    line, plan = F.col("product_line"), group_values("product_plan", rules.SUPPORT_PLAN_GROUPS, "Other")
+    pairs = F.collect_set(F.when(line.like("%Support%"), F.struct(line.alias("line"), plan.alias("plan"))))
+
+    def plans_of(own: Column) -> Column:
+        known = F.filter(pairs, lambda p: (p["line"] == own) & p["plan"].isNotNull())
+        return F.nullif(F.array_join(F.array_sort(F.transform(known, lambda p: p["plan"])), ","), F.lit(""))
+
+    lines = F.array_distinct(F.transform(pairs, lambda p: p["line"]))
     return classify_set(
         products,
         ACCOUNT_DAY,
@@ -93,15 +105,7 @@ def customer_types(products: DataFrame) -> DataFrame:
         rules.CUSTOMER_TYPE_RULES,
         "Other",
         "customer_type",
-    )
-
-
-def support_plans(products: DataFrame) -> DataFrame:
-    """Plan groups per account, day and support line (an account with two lines has two rows)."""
-    support = products.filter(F.col("product_line").like("%Support%"))
-    plan = group_values("product_plan", rules.SUPPORT_PLAN_GROUPS, "Other")
-    return support.groupBy(*ACCOUNT_DAY, "product_line").agg(
-        distinct_list(plan).alias("support_plan")
+        extra=[F.transform(lines, plans_of).alias("support_plans")],
     )
 
 
@@ -198,12 +202,13 @@ def accounts_today(
     key = F.col("crm_account_id")
     out = _described(base, t)
     out = membership_flag(out, t["startups"], "crm_account_id", "startup_account", key)
-    out = lookup(out, customer_types(products), ACCOUNT_DAY)
+    out = lookup(out, product_labels(products), ACCOUNT_DAY)
     seats = paid_seats(seat_charges(seats_today), t["product_dim"])
     out = lookup(out, seats, ACCOUNT_DAY, [F.col("paid_core_agents").alias("paid_agents_today")])
     terms = contract_terms(term_revenue(today), t["calendar"], yesterday, min_fiscal_year)
     out = lookup(out, terms, ACCOUNT_DAY)
-    current = out.select(
+    labelled = out.select(
+        "support_plans",
         "crm_account_id",
         "startup_account",
         "mrr_date",
@@ -232,19 +237,16 @@ def accounts_today(
     won_products = paid_products(on_days(t["revenue_lines"], win_days))
     won_seats = seat_charges(on_days(t["revenue_lines_snapshot"], win_days))
 
-    def then(df: DataFrame, facts: DataFrame, col: str, name: str) -> DataFrame:
-        on = ["crm_account_id", ("__at_win", "mrr_date")]
-        return lookup(df, facts, on, [F.col(col).alias(name)])
-
-    plan_now = [F.col("support_plan").alias("__plan_now")]
-    out = lookup(current, support_plans(products), ACCOUNT_DAY, plan_now)
-    out = out.withColumn("__at_win", at_win)
-    out = then(out, customer_types(won_products), "customer_type", "customer_type_at_win")
-    out = then(out, support_plans(won_products), "support_plan", "__plan_at_win")
+    on = ["crm_account_id", ("__at_win", "mrr_date")]
+    out = labelled.withColumn("__at_win", at_win)
+    won_labels = [F.col("customer_type").alias("customer_type_at_win"), F.col("support_plans").alias("__plans_at_win")]
+    out = lookup(out, product_labels(won_products), on, won_labels)
     seats_at_win = paid_seats(won_seats, t["product_dim"])
-    out = then(out, seats_at_win, "paid_core_agents", "paid_core_agents_at_win")
+    out = lookup(out, seats_at_win, on, [F.col("paid_core_agents").alias("paid_core_agents_at_win")])
+    out = out.withColumn("__plan_now", F.explode_outer("support_plans"))
+    out = out.withColumn("__plan_at_win", F.explode_outer("__plans_at_win"))
     return out.select(
-        *current.columns,
+        *labelled.columns[1:],
         "customer_type_at_win",
         transition("customer_type_at_win", "customer_type").alias("cust_type_win_to_now"),
         F.coalesce("__plan_now", F.lit("")).alias("support_plan_now"),
@@ -290,8 +292,8 @@ def accounts_at_win(
     out = _described(out, t)
     key = F.col("crm_account_id")
     out = membership_flag(out, t["smb_startups"], "crm_account_id", "startup_account", key)
-    out = lookup(out, customer_types(products), ACCOUNT_DAY)
-    out = lookup(out, support_plans(products), ACCOUNT_DAY, ["support_plan"])
+    out = lookup(out, product_labels(products), ACCOUNT_DAY)
+    out = out.withColumn("support_plan", F.explode_outer("support_plans"))
     out = lookup(out, contract_terms(revenue, t["calendar"], yesterday, min_fiscal_year), ACCOUNT_DAY)
     plan_at_win = F.coalesce("__stored_plan", "support_plan", F.lit(""))
     primary = band(

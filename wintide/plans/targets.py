@@ -220,15 +220,14 @@ def bill_contacts(t: Tables) -> DataFrame:
 
 
 def social_accounts(t: Tables) -> DataFrame:
-    """Accounts whose newest social line still carries revenue (ranked first, filtered after)."""
+    """Accounts one of whose newest social lines still carries revenue."""
     social = t["revenue_lines"].filter(F.lower("product_offering").like("%social%"))
-    newest = latest_per_key(
-        social.select("crm_account_id", "mrr_date", "net_arr_usd"),
-        ["crm_account_id"],
-        "mrr_date",
-        ties="all",
+    paid = F.col("net_arr_usd") > 0
+    newest = social.groupBy("crm_account_id").agg(
+        F.max("mrr_date").alias("newest"), F.max(F.when(paid, F.col("mrr_date"))).alias("newest_paid"), F.count_if(paid).alias("paid")
     )
-    return newest.filter(F.col("net_arr_usd") > 0).select("crm_account_id").distinct()
+    undated = F.col("newest").isNull() & (F.col("paid") > 0)
+    return newest.filter((F.col("newest") == F.col("newest_paid")) | undated).select("crm_account_id")
 
 
 def _plan_label(col: str, product: str) -> Column:
