@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.domain import AS_OF, SNAPSHOT, Domain, prelude
+from checks.domain import AS_OF, INPUTS, SNAPSHOT, Domain, prelude
 from checks.registry import Tables, query
 from wintide import plans
 from wintide.functions import yesterday_in
@@ -739,3 +739,18 @@ WHERE contains(product_plan, 'Suite') OR contains(product_plan, 'Guide Professio
 def product_target_list(t: Tables) -> DataFrame:
     """History starts early here, so that the driver dates lie past it."""
     return plans.product_targets(domain(t), as_of(), DIMENSION_FROM, HISTORY_FROM)
+
+
+def prepare(spark: SparkSession, folder: str) -> None:
+    """Store every derived input, and the reports that others read, for all later report queries."""
+    t = Tables(spark, folder)
+    inputs = domain(t)
+    for name in INPUTS:
+        Domain.prepared[folder, name] = stage(inputs[name], name)
+    for chain, names in (
+        (smb_domain, ["smb_accounts", "smb_accounts_at_win"]),
+        (mm_domain, ["mm_accounts", "mm_accounts_at_quarter", "mm_expansions", "mm_expansions_by_type"]),
+    ):
+        for name in names:
+            # a new domain each time, so that it reads what is stored by now
+            Domain.prepared[folder, name] = chain(t)[name]
