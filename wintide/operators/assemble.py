@@ -49,7 +49,7 @@ def account_360(driver: DataFrame, features: Sequence[Feature]) -> DataFrame:
         right = feature.df
         if feature.unique:
             right_keys = [r for _, r in key_pairs(feature.on)]
-            right = one_per_key(right.select(*right_keys, *_feature_columns(feature)), right_keys)
+            right = one_per_key(right.select(*right_keys, *[c for c in _feature_columns(feature) if c not in right_keys]), right_keys)
         out = lookup(out, right, feature.on, wanted)
         if feature.flag is not None:
             out = out.withColumn(feature.flag, presence_flag(F.col("__hit"))).drop("__hit")
@@ -82,8 +82,8 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     both = known.groupBy(*keys).agg(F.min(row).alias("__least"), F.max(row).alias("__most"))
     key = F.to_json(F.struct(*keys))
     problem = F.raise_error(F.concat(F.lit("several rows for one key: "), key))
-    held = both.filter(F.when(F.col("__least").eqNullSafe(F.col("__most")), True).otherwise(problem.cast("boolean")))
-    return held.select(*[F.col(c) if c in keys else F.col(f"__least.{c}") for c in df.columns])
+    held = both.filter(F.when(F.col("__least") == F.col("__most"), True).otherwise(problem.cast("boolean")))
+    return held.select(*keys, "__least.*")
 
 
 def coalesce_sources(
