@@ -1062,8 +1062,7 @@ def stored_reports_joined(t: Tables) -> DataFrame:
     The first is written twice, the second time replacing only the partition of one order status.
     """
     spark, place = t.spark, fresh_place(t.spark, "stored_reports")
-    buckets = (8, ["account"])
-    spend = F.round(F.sum("o_totalprice"), 2).alias("spend")
+    buckets = (int(spark.conf.get("spark.sql.shuffle.partitions")), ["account"])
     per_account = t.orders.groupBy(F.col("o_custkey").alias("account"), "o_orderstatus").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("spend")
     )
