@@ -38,6 +38,66 @@ def test_letter_edits(spark, share, kinds):
     assert len(want) >= 0.8 * len(rows) or share > 0.18
 
 
+def replaced(text, places):
+    out = list(text)
+    for at in places:
+        out[at] = "x" if out[at] != "x" else "y"
+    return "".join(out)
+
+
+def placed_edits(kind, n, most):
+    """Up to ``most`` places among ``n``: evenly spaced, in one or three clusters, in pairs, or at shifting gaps."""
+    if kind.startswith("every"):
+        return range(int(kind[5:]) // 2, n, int(kind[5:]))
+    if kind == "cluster":
+        return range(n // 3, n // 3 + most)
+    if kind == "clusters":
+        return [p for k in range(3) for p in range(k * n // 3, k * n // 3 + most // 3)]
+    if kind == "pairs":
+        return [p for k in range(most // 2) for p in (k * n // (most // 2), k * n // (most // 2) + 1)]
+    # two edits in ten bytes, the second one byte further on each time: no run exceeds eight
+    return [p for p in range(n) if p % 10 in (0, (p // 10) % 9 + 1)][:most]
+
+
+@pytest.mark.parametrize("kind", ["every5", "every6", "every7", "every8", "every10", "cluster", "clusters", "pairs", "shifting"])
+def test_placed_edits(spark, kind):
+    rows = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").select("item_id", "text").collect()
+    index = decontaminate.build_index([(r[0], r[1]) for r in rows])
+    host = b"zq vkj 00 " * 30
+    bodies = [t.decode() for t in index.texts]
+    docs = [host + replaced(t, placed_edits(kind, len(t), len(t) // 5)).encode() + b" " + host for t in bodies]
+    want = {
+        n for n, t in enumerate(index.texts)
+        if decontaminate.edit_distance_within(t, decontaminate.plain(docs[n])) <= 0.2 * len(t)
+    }
+    found = {text for text, item, _, _ in decontaminate.hits(index, docs) if text == item}
+    print(kind, len(found & want), len(want))
+    assert found == want
+    assert len(want) > 100
+
+
+@pytest.mark.parametrize("most_edits", [0.0, 0.02, 0.1, 0.2, 0.27, 0.35])
+def test_no_item_within_the_bound_is_lost(most_edits):
+    rng = random.Random(int(100 * most_edits))
+    texts, docs = [], []
+    for size in [*range(48, 132, 3), 62, 71, 80, 200, 500]:
+        text = "".join(rng.choices("abcdef ", k=size)).strip() + "q"
+        texts.append(text)
+        edited = text
+        for at in sorted(rng.sample(range(len(text)), int(most_edits * len(text))), reverse=True):
+            kind = rng.choice(["swap", "drop", "add"])
+            edited = edited[:at] + {"swap": "z", "drop": "", "add": "k" + edited[at]}[kind] + edited[at + 1 :]
+        docs.append(edited)
+    joined = [d.encode() for d in docs] + [" ".join(docs).encode(), b"", ("é" * 70).encode()]
+    index = decontaminate.build_index(list(enumerate(texts)), most_edits)
+    want = {
+        (d, n) for d, doc in enumerate(joined) for n, t in enumerate(index.texts)
+        if decontaminate.edit_distance_within(t, decontaminate.plain(doc)) <= most_edits * len(t)
+    }
+    found = {(d, n) for d, n, _, _ in decontaminate.hits(index, joined, most_edits)}
+    assert found == want and len(want) >= len(texts)
+
+
 ODD = ["Ja", "x", "forty two", "Who wrote Emma?", "東京は日本の首都であり人口は約千四百万人である", "ภาษาไทยไม่มีการเว้นวรรคระหว่างคำ", "é"]
 
 
