@@ -32,8 +32,8 @@ LEAF = 9  # one byte less is a number of 64 bits
 LEAST_LEAF = 7  # shorter ones are met too often; then runs
 STRETCH = 3  # pairs of leaves, or two and a triple: at most 63 bytes
 LEAST_BYTES = 50  # of an item that is cut into leaves
-MOST_PAIRS = 32_000
-SCANNED = 1 << 16
+MOST_PAIRS = 128_000
+SCANNED = 1 << 17
 AROUND = 64
 BLOCK_BYTES = 4 << 20
 FILTER_BITS = 20
