@@ -133,6 +133,26 @@ def test_weighted_samples(spark, documents, corpus):
     assert max(map(abs, errors)) < 5 / math.sqrt(samples)
 
 
+def test_weighted_samples_of_the_query(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    texts = sorted(((r[0], r[1] or "") for r in docs.collect()), reverse=True)
+    found = {r["doc_id"]: r for r in weighted_sampling.fingerprint_documents(docs).collect()}
+    errors = []
+    for n, (doc, text) in enumerate(texts):
+        following, cut = texts[(n + 1) % len(texts)][1], len(text) // 3
+        edited = text[: len(text) - cut] + following[:cut]
+        errors.append(abs(found[doc]["near_edited"] - generalised(text, edited)))
+        errors.append(abs(found[doc]["near_next"] - generalised(text, following)))
+    near_edited = sorted(errors[::2])
+    assert near_edited[int(0.95 * len(near_edited))] <= 0.15
+    assert sum(errors) / len(errors) < 0.06
+
+
+def test_texts_are_shuffled_once(spark, documents):
+    plan = weighted_sampling.fingerprint_documents(documents)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1
+
+
 def test_single_and_empty(spark, empty):
     assert weighted_sampling.fingerprint_documents(empty).count() == 0
     assert secrets_index.find_secrets(empty).count() == 0

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 16
+SAMPLES = 48
 SPACES = r"[\x20\x09-\x0D]+"
 KNOTS = 32
 TAG_BITS = 20
@@ -160,49 +160,52 @@ def fingerprint_documents(
     placed = with_next(docs, key, text).withColumn(
         "edited", F.when(~F.col("ahead"), edited_text(F.col("text"), F.col("next_text")))
     )
-    bodies = F.array(F.struct(F.lit(1).alias("own"), F.col("text").alias("body")),
-                     F.struct(F.lit(0).alias("own"), F.col("edited").alias("body")))
+    # a row without a term carries what is known of the text itself, so that texts are shuffled once
+    facts = ("id", "ahead", "n_chars", "edited_sha256")
+    known = F.struct(
+        F.lit(0).alias("own"),
+        F.lit(None).cast("string").alias("body"),
+        F.col("id"),
+        F.col("ahead"),
+        F.char_length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+    )
+    parts = [
+        F.struct(
+            F.lit(own).alias("own"),
+            F.col(body).alias("body"),
+            F.lit(None).cast("bigint").alias("id"),
+            F.lit(None).cast("boolean").alias("ahead"),
+            F.lit(None).cast("bigint").alias("n_chars"),
+            F.lit(None).cast("string").alias("edited_sha256"),
+        )
+        for own, body in ((1, "text"), (0, "edited"))
+    ]
+    by = ("cell", "place", *facts)
+    words = F.when(F.col("n_chars").isNull(), F.split("body", SPACES)).otherwise(F.array(F.lit(None).cast("string")))
     terms = (
-        placed.select("cell", "place", F.inline(bodies))
-        .select("cell", "place", "own", F.explode(F.split("body", SPACES)).alias("word"))
-        .where("word <> ''")
-        .groupBy("cell", "place", F.xxhash64("word").alias("term"))
-        .agg(F.sum("own").alias("own"), F.sum(1 - F.col("own")).alias("edited"))
+        placed.select("cell", "place", F.inline(F.array(known, *parts)))
+        .select(*by, "own", F.explode(words).alias("word"))
+        .where("word is null or word <> ''")
+        .groupBy(*by, F.when(F.col("word").isNotNull(), F.xxhash64("word")).alias("term"))
+        .agg(
+            F.sum(F.when(F.col("word").isNotNull(), F.col("own"))).alias("own"),
+            F.sum(F.when(F.col("word").isNotNull(), 1 - F.col("own"))).alias("edited"),
+        )
     )
     mask = F.lit((1 << TAG_BITS) - 1)
-    signature = F.array_sort(F.collect_list(F.struct("sample", "own", "edited")))
+    drawn_only = F.when(F.col("n_chars").isNull(), F.struct("sample", "own", "edited"))
     drawn = (
-        draw_samples(terms, samples, ("cell", "place"), ("own", "edited"))
+        draw_samples(terms, samples, by, ("own", "edited"))
         .groupBy("cell", "place")
-        .agg(signature.alias("drawn"))
-        .select(
-            "cell",
-            "place",
-            *[
-                F.transform("drawn", _tag_of(kind, mask)).alias(f"{kind}_sig")
-                for kind in ("own", "edited")
-            ],
-        )
+        .agg(F.array_sort(F.collect_list(drawn_only)).alias("drawn"), *[F.max(c).alias(c) for c in facts])
     )
     none = F.array_repeat(F.lit(None).cast("bigint"), samples)
-    base = placed.select(
-        "cell",
-        "place",
-        "id",
-        "ahead",
-        F.char_length("text").cast("bigint").alias("n_chars"),
-        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-    )
-    joined = base.join(drawn, ["cell", "place"], "left").select(
-        "cell",
-        "place",
-        "id",
-        "ahead",
-        "n_chars",
-        "edited_sha256",
-        F.coalesce("own_sig", none).alias("sig"),
-        F.coalesce("edited_sig", none).alias("edited_sig"),
-    )
+
+    def signature(kind: str) -> Column:
+        return F.when(F.size("drawn") > 0, F.transform("drawn", _tag_of(kind, mask))).otherwise(none)
+
+    joined = drawn.select("cell", "place", *facts, signature("own").alias("sig"), signature("edited").alias("edited_sig"))
     after = F.lead("sig").over(Window.partitionBy("cell").orderBy("place"))
     shown = lambda sig: F.array_join(
         F.transform(sig, lambda x: F.coalesce(F.lpad(F.lower(F.hex(x)), 5, "0"), F.lit("-----"))), ""
