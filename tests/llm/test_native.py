@@ -149,8 +149,8 @@ def test_weighted_samples_of_the_query(spark):
 
 
 def test_texts_are_shuffled_once(spark, documents):
-    plan = weighted_sampling.fingerprint_documents(documents)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("REPARTITION_BY_NUM") == 1
+    plan = weighted_sampling.fingerprint_documents(documents)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1
 
 
 def test_single_and_empty(spark, empty):

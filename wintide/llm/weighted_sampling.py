@@ -163,28 +163,21 @@ def fingerprint_documents(
     # a row without a term carries what is known of the text itself, so that texts are shuffled once
     facts = ("id", "ahead", "n_chars", "edited_sha256")
     known = F.struct(
-        F.lit(0).alias("own"),
-        F.lit(None).cast("string").alias("body"),
         F.col("id"),
         F.col("ahead"),
         F.char_length("text").cast("bigint").alias("n_chars"),
         F.sha2(F.col("edited"), 256).alias("edited_sha256"),
     )
-    parts = [
-        F.struct(
-            F.lit(own).alias("own"),
-            F.col(body).alias("body"),
-            F.lit(None).cast("bigint").alias("id"),
-            F.lit(None).cast("boolean").alias("ahead"),
-            F.lit(None).cast("bigint").alias("n_chars"),
-            F.lit(None).cast("string").alias("edited_sha256"),
-        )
-        for own, body in ((1, "text"), (0, "edited"))
-    ]
-    by = ("cell", "place", *facts)
-    words = F.when(F.col("n_chars").isNull(), F.split("body", SPACES)).otherwise(F.array(F.lit(None).cast("string")))
+    unknown = F.lit(None).cast("struct<id:bigint,ahead:boolean,n_chars:bigint,edited_sha256:string>")
+    parts = F.array(
+        F.struct(F.lit(0).alias("own"), F.lit(None).cast("string").alias("body"), known.alias("known")),
+        F.struct(F.lit(1).alias("own"), F.col("text").alias("body"), unknown.alias("known")),
+        F.struct(F.lit(0).alias("own"), F.col("edited").alias("body"), unknown.alias("known")),
+    )
+    by = ("cell", "place", "known")
+    words = F.when(F.col("known").isNull(), F.split("body", SPACES)).otherwise(F.array(F.lit(None).cast("string")))
     terms = (
-        placed.select("cell", "place", F.inline(F.array(known, *parts)))
+        placed.select("cell", "place", F.inline(parts))
         .select(*by, "own", F.explode(words).alias("word"))
         .where("word is null or word <> ''")
         .groupBy(*by, F.when(F.col("word").isNotNull(), F.xxhash64("word")).alias("term"))
@@ -194,11 +187,12 @@ def fingerprint_documents(
         )
     )
     mask = F.lit((1 << TAG_BITS) - 1)
-    drawn_only = F.when(F.col("n_chars").isNull(), F.struct("sample", "own", "edited"))
+    drawn_only = F.when(F.col("known").isNull(), F.struct("sample", "own", "edited"))
     drawn = (
         draw_samples(terms, samples, by, ("own", "edited"))
         .groupBy("cell", "place")
-        .agg(F.array_sort(F.collect_list(drawn_only)).alias("drawn"), *[F.max(c).alias(c) for c in facts])
+        .agg(F.array_sort(F.collect_list(drawn_only)).alias("drawn"), F.max("known").alias("known"))
+        .select("cell", "place", "drawn", *[F.col("known")[c].alias(c) for c in facts])
     )
     none = F.array_repeat(F.lit(None).cast("bigint"), samples)
 
