@@ -833,7 +833,7 @@ def first_day_activity(t: Tables) -> DataFrame:
     """Each user's events on the first day: of a long log, little more than those lines is shuffled."""
     log = t.events.select("user_id", "value", F.to_date("ts").alias("day"))
     first = log.groupBy("user_id").agg(F.min("day").alias("day"))
-    lines = on_days(log, first, ["user_id", "day"], "day", filter_words=1 << 17)
+    lines = on_days(log, first, ["user_id", "day"], "day", filter_words=1 << 17, calendar_days=True)
     return lines.groupBy("user_id", "day").agg(
         F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("value")
     )

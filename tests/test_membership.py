@@ -98,6 +98,21 @@ def test_days_are_cut_below_the_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_lines_are_not_dealt_out_by_day(spark):
+    """With nothing to broadcast by size: a calendar's days are broadcast, the lines shuffled by pair only."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        day = F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 60).cast("int")).alias("day")
+        lines = spark.range(6_000).select((F.col("id") % 500).alias("k"), day, "id")
+        wanted = lines.groupBy("k").agg(F.min("day").alias("day")).filter("k % 10 > 0")
+        cut = on_days(lines, wanted, ["k", "day"], "day", filter_words=1 << 10, calendar_days=True)
+        text = cut._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [day" in text and text.count("SortMergeJoin") == 1
+        assert rows_of(cut, "id") == rows_of(on_days(lines, wanted, ["k", "day"], "day"), "id") != []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_semi_filter_keeps_row_count(frame, probe):
     keys = frame("m int", [(1,), (1,), (3,), (None,)])
     assert rows_of(semi_filter(probe, keys, [("k", "m")])) == [(1,), (3,)]

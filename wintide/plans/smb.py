@@ -19,6 +19,7 @@ from wintide.functions import (
     transition,
 )
 from wintide.operators import (
+    ACCOUNT_FILTER_WORDS,
     classify_set,
     current_rows,
     dominant_value,
@@ -160,6 +161,10 @@ def _described(df: DataFrame, t: Tables) -> DataFrame:
     return lookup(out, crm, [("crm_account_id", "id")])
 
 
+def _on_win_days(lines: DataFrame, win_days: DataFrame) -> DataFrame:
+    return on_days(lines, win_days, filter_words=ACCOUNT_FILTER_WORDS, calendar_days=True)
+
+
 def _or_unknown(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit("Unknown"))
 
@@ -234,8 +239,8 @@ def accounts_today(
     at_win = strict_greatest("account_win_date", F.lit(history_start))
     win_day = strict_greatest("win_date", F.lit(history_start))
     win_days = t["win_dates"].select("crm_account_id", win_day.alias("mrr_date"))
-    won_products = paid_products(on_days(t["revenue_lines"], win_days))
-    won_seats = seat_charges(on_days(t["revenue_lines_snapshot"], win_days))
+    won_products = paid_products(_on_win_days(t["revenue_lines"], win_days))
+    won_seats = seat_charges(_on_win_days(t["revenue_lines_snapshot"], win_days))
 
     on = ["crm_account_id", ("__at_win", "mrr_date")]
     out = labelled.withColumn("__at_win", at_win)
@@ -279,7 +284,7 @@ def accounts_at_win(
         F.col("year_quarter").alias("win_yyyyqq"),
     ]
     out = with_calendar(out, t["calendar"], "mrr_date", calendar)
-    lines = on_days(t["revenue_lines"], won.select(*ACCOUNT_DAY))
+    lines = _on_win_days(t["revenue_lines"], won.select(*ACCOUNT_DAY))
     products, revenue = paid_products(lines), term_revenue(lines)
     today = t["smb_accounts"].select(
         "crm_account_id",
