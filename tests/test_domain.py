@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 
 from checks import domain, reports
+from wintide.plans.midmarket import product_states
 
 ROWS = {
     "region": ("r_regionkey int, r_name string", [(0, "ASIA"), (1, "AMERICA")]),
@@ -57,7 +58,6 @@ def shown(df) -> list[str]:
         "smb_account_expansions",
         "smb_accounts_today",
         "product_target_list",
-        "mm_expansions_granular",
     ],
 )
 def test_revenue_lines_are_joined_once_in_a_report(spark, folder, monkeypatch, name):
@@ -75,6 +75,17 @@ def test_revenue_lines_are_joined_once_in_a_report(spark, folder, monkeypatch, n
     assert "lineitem.parquet" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_account_days_are_cut_before_orders_meet_their_lines(spark, folder):
+    states = product_states(domain.Domain(spark, folder), reports.HISTORY_FROM)
+    text = states._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    filters = [n for n, line in enumerate(text) if "getbit" in line]
+    # below the filter stand the orders alone: the plan's lines are indented by depth
+    below = text[filters[0] + 1 :]
+    depth = [len(line) - len(line.lstrip(" :+-|")) for line in text]
+    inside = below[: next((n for n, d in enumerate(depth[filters[0] + 1 :]) if d <= depth[filters[0]]), len(below))]
+    assert "o_custkey" in text[filters[0]] and not any("Join" in line for line in inside)
+
+
 def test_stored_inputs_hold_the_same_rows(spark, folder):
     lazy = domain.Domain(spark, folder)
     stored = domain.Domain(spark, folder, reports.REVENUE_STORED)
