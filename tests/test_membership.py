@@ -82,6 +82,19 @@ def test_may_hold_loses_no_member(spark, frame, words):
             may_hold(frame(ddl, []), keys, ["id", "day"], words)
 
 
+def test_filter_grows_with_its_keys(spark):
+    """The share of others that pass does not rise with the tables; the bound on the words still holds."""
+    for rows in (2_000, 200_000):
+        df = spark.range(rows).select("id", (F.col("id") % 7).cast("string").alias("day"))
+        keys = df.filter("id % 10 = 0")
+        passed = may_hold(df, keys, ["id", "day"], 1 << 14, key_bits=16)
+        assert passed.filter("id % 10 = 0").count() == rows / 10
+        assert passed.count() < rows / 10 + 0.03 * rows
+        assert may_hold(df, keys, ["id", "day"], 4, key_bits=16).count() == rows or rows == 2_000
+    for words in (1, 1 << 12):
+        assert may_hold(df, keys.filter("id < 0"), ["id", "day"], words, key_bits=16).count() == 0
+
+
 def test_days_are_cut_below_the_shuffle(spark):
     """With nothing to broadcast: the filter stands in the scan's stage, the exact join above the shuffle."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -149,6 +149,21 @@ def test_reports_share_their_reads_of_revenue(smb, midmarket, spark, tmp_path):
     assert scans_of_revenue(plans.accounts_granular, midmarket, spark, f"{tmp_path}/mm") <= 3
 
 
+def test_revenue_at_win_is_cut_before_it_is_summed(smb, spark, tmp_path):
+    """Of the days of an account one is wanted: the others are dropped where they are read, below the sum."""
+    smb["revenue_lines"].write.parquet(f"{tmp_path}/lines")
+    lines = spark.read.parquet(f"{tmp_path}/lines")
+    summed = lines.groupBy("crm_account_id", "mrr_date").agg(
+        F.lit("AMER").alias("crm_owner_region_clean"), F.sum("net_arr_usd").alias("net_arr_usd")
+    )
+    today, yesterday = today_of(smb)
+    report = plans.accounts_at_win(smb.replaced(smb_accounts=today, revenue_by_account=summed), yesterday)
+    text = report._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    (read,) = [n for n, row in enumerate(text) if "Relation [" in row and "parquet" in row]
+    (total,) = [n for n, row in enumerate(text) if "sum(net_arr_usd" in row and n < read][-1:]
+    assert "getbit" in "".join(text[total + 1 : read])
+
+
 def test_two_support_lines_give_two_rows(tables):
     """Each support line has its own plan list, at win and now; without any, the plan is empty."""
     lines = [

@@ -15,6 +15,7 @@ from wintide.operators.cohort import (
     tenure_windows,
 )
 from wintide.operators.membership import (
+    ACCOUNT_FILTER_BITS,
     ACCOUNT_FILTER_WORDS,
     Flag,
     exclude_members_unless,
@@ -52,6 +53,7 @@ from wintide.operators.temporal import (
 )
 
 __all__ = [
+    "ACCOUNT_FILTER_BITS",
     "ACCOUNT_FILTER_WORDS",
     "Feature",
     "Flag",

@@ -19,12 +19,14 @@ from wintide.functions import (
     transition,
 )
 from wintide.operators import (
+    ACCOUNT_FILTER_BITS,
     ACCOUNT_FILTER_WORDS,
     classify_set,
     current_rows,
     dominant_value,
     latest_per_key,
     lookup,
+    may_hold,
     membership_flag,
     reporting_dates,
     on_days,
@@ -162,7 +164,9 @@ def _described(df: DataFrame, t: Tables) -> DataFrame:
 
 
 def _on_win_days(lines: DataFrame, win_days: DataFrame) -> DataFrame:
-    return on_days(lines, win_days, filter_words=ACCOUNT_FILTER_WORDS, calendar_days=True)
+    return on_days(
+        lines, win_days, filter_words=ACCOUNT_FILTER_WORDS, calendar_days=True, filter_key_bits=ACCOUNT_FILTER_BITS
+    )
 
 
 def _or_unknown(col: str) -> Column:
@@ -277,6 +281,8 @@ def accounts_at_win(
     winners = t["win_dates"].select("crm_account_id", F.col("win_date").alias("account_win_date"))
     won = winners.withColumn("mrr_date", at_win)
     accounts = t["revenue_by_account"].select(*ACCOUNT_DAY, "crm_owner_region_clean", "net_arr_usd")
+    # all days of an account are there, one is wanted: cut them before they are shuffled, or summed where they are derived
+    accounts = may_hold(accounts, won, ACCOUNT_DAY, ACCOUNT_FILTER_WORDS, ACCOUNT_FILTER_BITS)
     out = lookup(won, accounts, ACCOUNT_DAY, how="inner")
     calendar = [
         F.col("fiscal_year").alias("win_year"),
